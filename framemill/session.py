@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,20 +28,26 @@ def local_session(app: str = "framemill", cores: str = "*", partitions: int = 8)
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
-
-    The folder is the session's spark.checkpoint.dir; only where that is unset (tests, single node)
-    a temporary one is made.
-    """
-    spark = df.sparkSession
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir; only where that is unset (tests, single node) a temporary one is made."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="framemill-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there."""
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path for written tables in the folder that all executors share."""
+    return f"{_checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def task_target(spark: SparkSession) -> int:
     """Number of tasks a CPU-bound stage should have at least."""
     return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
