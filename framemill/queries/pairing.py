@@ -87,8 +87,8 @@ def row_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(spark, sf_dir).filter("basis = 'prefix'").select("one", "other", "row_delta")
 
 
-@query("pairing_summary", f"""{_COMMON} SELECT count_if(basis = 'exact') AS exact, count_if(basis = 'prefix') AS prefix, count_if(basis = 'one_only') AS one_only, count_if(basis = 'other_only') AS other_only,
-    count_if(basis IN ('exact', 'prefix') AND one <> other) AS moved, count_if(basis = 'prefix' AND row_delta = 0) AS same_length, coalesce(max(CASE WHEN basis = 'prefix' THEN abs(row_delta) END), 0) AS worst_row_delta FROM pairing""")
+@query("pairing_summary", f"""{_COMMON} SELECT count(CASE WHEN basis = 'exact' THEN 1 END) AS exact, count(CASE WHEN basis = 'prefix' THEN 1 END) AS prefix, count(CASE WHEN basis = 'one_only' THEN 1 END) AS one_only, count(CASE WHEN basis = 'other_only' THEN 1 END) AS other_only,
+    count(CASE WHEN basis IN ('exact', 'prefix') AND one <> other THEN 1 END) AS moved, count(CASE WHEN basis = 'prefix' AND row_delta = 0 THEN 1 END) AS same_length, coalesce(max(CASE WHEN basis = 'prefix' THEN abs(row_delta) END), 0) AS worst_row_delta FROM pairing""")
 def pairing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the pairing."""
     return pairing.pairing_summary(_pairs(spark, sf_dir))
@@ -108,8 +108,8 @@ _DIVERGE = """ra AS (SELECT *, row_number() OVER (PARTITION BY episode_index ORD
     j AS (SELECT p.one, p.other, x.position, x.state_vec IS DISTINCT FROM y.state_vec OR x.action_vec IS DISTINCT FROM y.action_vec AS unequal FROM pairing p JOIN ra x ON x.episode_index = p.one JOIN rb y ON y.episode_index = p.other AND y.position = x.position WHERE basis IN ('exact', 'prefix'))"""
 
 
-@query("first_divergence", f"""{_COMMON}, {_DIVERGE} SELECT j.one, j.other, count(*) AS compared_rows, CAST(min(CASE WHEN unequal THEN position END) AS BIGINT) AS first_divergence, count_if(unequal) AS differing,
-    count_if(unequal) = 0 AND abs(any_value(p.row_delta)) <= 2 AS ok FROM j JOIN pairing p ON p.one = j.one GROUP BY 1, 2""")
+@query("first_divergence", f"""{_COMMON}, {_DIVERGE} SELECT j.one, j.other, count(*) AS compared_rows, CAST(min(CASE WHEN unequal THEN position END) AS BIGINT) AS first_divergence, count(CASE WHEN unequal THEN 1 END) AS differing,
+    count(CASE WHEN unequal THEN 1 END) = 0 AND abs(any_value(p.row_delta)) <= 2 AS ok FROM j JOIN pairing p ON p.one = j.one GROUP BY 1, 2""")
 def first_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where paired episodes first differ."""
     paired = cut_lineage(_pairs(spark, sf_dir).filter(F.col("basis").isin("exact", "prefix")))
@@ -123,7 +123,7 @@ _BLOCK = "SELECT episode_index, 'action_vec' AS feature, i - 1 AS dim, min(actio
     l AS (SELECT p.one, x.feature, unnest(['min', 'max', 'mean']) AS stat, unnest([abs(x.min - y.min), abs(x.max - y.max), abs(x.mean - y.mean)]) AS gap, unnest([y.min = 0, y.max = 0, y.mean = 0]) AS zero
       FROM pairing p JOIN sa x ON x.episode_index = p.one JOIN sb y ON y.episode_index = p.other AND y.dim = x.dim WHERE basis IN ('exact', 'prefix')),
     q AS (SELECT one, feature, stat, max(gap) AS gap, bool_and(zero) AS zero FROM l GROUP BY ALL)
-    SELECT feature, stat, count(*) AS seen, count_if(gap > 1e-6) AS bad, round(coalesce(max(CASE WHEN gap > 1e-6 THEN gap END), 0) + 1e-9, 6) AS worst, bool_and(zero) AS zeroed FROM q GROUP BY ALL""")
+    SELECT feature, stat, count(*) AS seen, count(CASE WHEN gap > 1e-6 THEN 1 END) AS bad, round(coalesce(max(CASE WHEN gap > 1e-6 THEN gap END), 0) + 1e-9, 6) AS worst, bool_and(zero) AS zeroed FROM q GROUP BY ALL""")
 def episode_meta_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics that differ between paired episodes."""
     a, b = _copies(spark, sf_dir)
@@ -201,7 +201,7 @@ _DIST = "SELECT feature, dim, min(value) AS min, max(value) AS max, avg(value) A
 
 
 @query("funnel_verdict", f"""{_COMMON}, {_SAMPLE}, {_DIVERGE}, dx AS ({_DIST.format(_LONG.format(t="a", k="one"))}), dy AS ({_DIST.format(_LONG.format(t="b", k="other"))}),
-    s AS (SELECT count_if(basis = 'exact') AS exact, count_if(basis = 'prefix') AS prefix, count_if(basis = 'one_only') AS one_only, count_if(basis = 'other_only') AS other_only, count_if(basis IN ('exact', 'prefix') AND one <> other) AS moved FROM pairing),
+    s AS (SELECT count(CASE WHEN basis = 'exact' THEN 1 END) AS exact, count(CASE WHEN basis = 'prefix' THEN 1 END) AS prefix, count(CASE WHEN basis = 'one_only' THEN 1 END) AS one_only, count(CASE WHEN basis = 'other_only' THEN 1 END) AS other_only, count(CASE WHEN basis IN ('exact', 'prefix') AND one <> other THEN 1 END) AS moved FROM pairing),
     f AS (SELECT (SELECT count(DISTINCT prompt) FROM a) = (SELECT count(DISTINCT prompt) FROM b) AND (SELECT max(len(state_vec)) FROM a) = (SELECT max(len(state_vec)) FROM b) AS declarations_agree,
       (SELECT count(*) = 0 FROM j WHERE unequal AND one IN (SELECT one FROM sm)) AND (SELECT count(*) = 0 FROM pairing WHERE one IN (SELECT one FROM sm) AND abs(row_delta) > 2) AS values_agree,
       (SELECT count(*) = 0 FROM pairing p LEFT JOIN ({_FIRST_PROMPT.format(t="a")}) x ON x.episode_index = p.one LEFT JOIN ({_FIRST_PROMPT.format(t="b")}) y ON y.episode_index = p.other WHERE basis IN ('exact', 'prefix') AND x.prompt IS DISTINCT FROM y.prompt) AS prompts_agree,

@@ -238,7 +238,7 @@ def summary_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("dataset", "reason", "n", "level")
 
 
-@query("summary_flags", f"{_REASONS} SELECT dataset, count_if(reason = 'written') AS written, count_if(reason <> 'written') AS skipped, count_if(reason <> 'written') > count_if(reason = 'written') AS mostly_skipped FROM x GROUP BY 1")
+@query("summary_flags", f"{_REASONS} SELECT dataset, count(CASE WHEN reason = 'written' THEN 1 END) AS written, count(CASE WHEN reason <> 'written' THEN 1 END) AS skipped, count(CASE WHEN reason <> 'written' THEN 1 END) > count(CASE WHEN reason = 'written' THEN 1 END) AS mostly_skipped FROM x GROUP BY 1")
 def summary_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written and skipped episodes, and datasets that lost most."""
     skipped, written = F.count_if(F.col("reason") != "written"), F.count_if(F.col("reason") == "written")

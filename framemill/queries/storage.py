@@ -74,7 +74,7 @@ def smallest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql.window import Window
 
     w = Window.partitionBy("dataset")
-    return _files(spark, sf_dir).select("dataset", "file_id", "kb", F.row_number().over(w.orderBy("kb", "file_id")).alias("up"), F.row_number().over(w.orderBy(F.desc("kb"), "file_id")).alias("down"))
+    return _files(spark, sf_dir).select("dataset", "file_id", "kb", F.row_number().over(w.orderBy("kb", "file_id")).cast("bigint").alias("up"), F.row_number().over(w.orderBy(F.desc("kb"), "file_id")).cast("bigint").alias("down"))
 
 
 @query("size_sample", f"WITH {_FILES}, r AS (SELECT dataset, file_id, row_number() OVER (PARTITION BY dataset ORDER BY kb, file_id) - 1 AS i, count(*) OVER (PARTITION BY dataset) AS n FROM f) SELECT dataset, file_id FROM r WHERE n <= 5 OR i IN (CAST(floor(0 * n / 5.0::DOUBLE) AS BIGINT), CAST(floor(1 * (n / 5.0::DOUBLE)) AS BIGINT), CAST(floor(2 * (n / 5.0::DOUBLE)) AS BIGINT), CAST(floor(3 * (n / 5.0::DOUBLE)) AS BIGINT), CAST(floor(4 * (n / 5.0::DOUBLE)) AS BIGINT))")
