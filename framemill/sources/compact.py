@@ -66,9 +66,11 @@ def compact(spark: SparkSession, folder: str, state: str, sizes: Sizes = DEFAULT
     paths = [r["path"] for r in plan.select("path").collect()]
     rows = spark.read.parquet(*paths)
     columns = rows.columns
-    placed = rows.withColumn("__path", F.col("_metadata.file_path")).join(plan.withColumnRenamed("path", "__path"), "__path")
+    at_path, named = (next(c for c in (base + "_" * i for i in range(len(columns) + 1)) if c not in columns) for base in ("source_path", "target_name"))
     name = F.concat(F.lit(f"{run}/"), F.regexp_replace("output", "[^0-9a-z]", "-"), F.lit(".parquet"))
-    written = write_files(placed.select(*columns, name.alias("__name")), f"{state}/data", F.col("__name"), [], columns[:1], drop=["__name"]).agg(F.sum("n_rows")).first()[0]
+    targets = plan.select(F.col("path").alias(at_path), name.alias(named))
+    placed = rows.withColumn(at_path, F.col("_metadata.file_path")).join(targets, at_path).drop(at_path)
+    written = write_files(placed, f"{state}/data", F.col(named), [], [], drop=[named]).agg(F.sum("n_rows")).first()[0]
     expected = rows.count()
     if written != expected:
         raise RuntimeError(f"{written} records were written of {expected}")
