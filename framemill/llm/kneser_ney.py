@@ -166,8 +166,17 @@ class GramCounts:
         return out
 
 
-def fit(toxic: GramCounts, ordinary: GramCounts, shared: int = SHARED) -> RatioModel:
-    """The model of two classes' counts."""
+#: Occurrences in ordinary texts that wrong labels explain, for each one in toxic texts; they are taken off the ordinary counts.
+MISLABELLED = 0.2
+
+
+def fit(toxic: GramCounts, ordinary: GramCounts, shared: int = SHARED, mislabelled: float = MISLABELLED) -> RatioModel:
+    """The model of two classes' counts.
+
+    A toxic expression that wrong labels put among the ordinary texts just once would be as certain there, once begun, as
+    in the toxic class. So the ordinary counts are lowered by what ``mislabelled`` expects; common expressions, which toxic
+    texts hold no more often than their share, hardly change.
+    """
     grams = []
     for k in range(1, ORDER + 1):
         t, o = toxic.orders[k - 1], ordinary.orders[k - 1]
@@ -177,6 +186,7 @@ def fit(toxic: GramCounts, ordinary: GramCounts, shared: int = SHARED) -> RatioM
             n = np.zeros(len(key))
             n[np.searchsorted(key, side[0])] = side[1]
             counts.append(n)
+        counts[1] = np.floor(np.maximum(counts[1] - mislabelled * counts[0], 0))
         grams.append((key, counts, np.concatenate([t[2], o[2]])[first], np.concatenate([t[3], o[3]])[first]))
 
     keys, ratios, backoffs = [], [], []
