@@ -22,8 +22,8 @@ from framemill.session import small_side, spread
 MAX_LABELLED = 6_000
 #: Rounds in which the toxic class is narrowed.
 ROUNDS = 3
-#: Cut used when the labels are too few to find one.
-DEFAULT_CUT = 0.45
+#: Cut expected beforehand, and the number of toxic labels it weighs as much as.
+DEFAULT_CUT, PRIOR_LABELS = 0.6, 50
 #: Characters scored at once.
 SLICE = 1 << 19
 
@@ -44,7 +44,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, most: int = MAX_LAB
 def fit_models(sample: DataFrame) -> Row | None:
     """The fitted models (``model`` bytes, ``cut``) of a bounded sample, fitted in one task; None without both classes.
 
-    The cut is the score with the best F1 against the labels, where either half of the sample is scored by the models of the other half.
+    The cut is where F1 against the labels is best, either half of the sample being scored by the models of the other half.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,15 +82,14 @@ def _fit(rows: list[tuple[int, str, bool]]) -> tuple[RatioModel, float]:
     return fit(halves[0][0] + halves[1][0], halves[0][1] + halves[1][1]), _best_cut(score, truth)
 
 
-def _best_cut(score: np.ndarray, truth: np.ndarray) -> float:
+def _best_cut(score: np.ndarray, truth: np.ndarray, slack: float = 0.004) -> float:
+    """The middle of the scores at which F1 is within ``slack`` of the best: wrong labels move the best one about in the gap between the classes."""
     order = np.argsort(-score, kind="stable")
     hits, taken = np.cumsum(truth[order]), np.arange(1, len(order) + 1)
     f1 = 2 * hits / (taken + truth.sum())
-    best = int(f1.argmax())
-    if truth.sum() < 50:
-        return DEFAULT_CUT
-    nextbest = score[order[best + 1]] if best + 1 < len(order) else score[order[best]]
-    return float((score[order[best]] + nextbest) / 2)
+    good = score[order[f1 >= f1.max() - slack]]
+    found = (good.min() + good.max()) / 2
+    return float((found * truth.sum() + DEFAULT_CUT * PRIOR_LABELS) / (truth.sum() + PRIOR_LABELS))
 
 
 def _in_slices(model: RatioModel, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
