@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framemill.operators.blocks import BLOCK, Blocked, boxed
+from framemill.operators.places import places
 
 #: Microseconds of one block of a time-ordered scan (about a minute).
 TIME_BLOCK = 1 << 26
@@ -22,8 +23,8 @@ def advancing(samples: DataFrame, time: str, block: int = BLOCK) -> DataFrame:
 
 def by_position(left: DataFrame, right: DataFrame, key: list[str], left_order: list[str], right_order: list[str]) -> DataFrame:
     """Rows of both sides at the same place within ``key``, as far as the shorter side goes."""
-    places = [d.withColumn("position", F.row_number().over(Window.partitionBy(*key).orderBy(*o)) - 1) for d, o in ((left, left_order), (right, right_order))]
-    return places[0].join(places[1], [*key, "position"])
+    sides = [places(d, key, o, "position").drop("position_of") for d, o in ((left, left_order), (right, right_order))]
+    return sides[0].join(sides[1], [*key, "position"])
 
 
 def nearest_claimed(samples: DataFrame, references: DataFrame, time_block: int = TIME_BLOCK, block: int = BLOCK) -> DataFrame:

@@ -36,8 +36,13 @@ def tiling_problems(pieces: DataFrame, key: list[str]) -> DataFrame:
 def ranges_text(df: DataFrame, key: list[str], number: str) -> DataFrame:
     """``<key>, ranges``: the distinct numbers of each key as text such as ``0-3, 7``. Keys hold the runs, not the numbers."""
     rows = df.select(*key, number).dropDuplicates()
-    island = F.col(number) - F.row_number().over(Window.partitionBy(*key).orderBy(number))
-    runs = rows.withColumn("__i", island).groupBy(*key, "__i").agg(F.min(number).alias("a"), F.max(number).alias("b"))
+    # A run starts at a number whose predecessor isn't there and ends at one whose successor isn't; both are found by joins on
+    # (key, number), so that a key with many numbers is no burden. Starts and ends then pair up in order.
+    shifted = lambda by: rows.select(*key, (F.col(number) + by).alias(number))
+    starts = rows.join(shifted(1), [*key, number], "left_anti").select(*key, F.col(number).alias("a"))
+    ends = rows.join(shifted(-1), [*key, number], "left_anti").select(*key, F.col(number).alias("b"))
+    nth = lambda c: F.row_number().over(Window.partitionBy(*key).orderBy(c)).alias("nth")
+    runs = starts.select("*", nth("a")).join(ends.select("*", nth("b")), [*key, "nth"])
     text = F.transform(F.array_sort(F.collect_list(F.struct("a", "b"))), lambda r: F.when(r["a"] == r["b"], r["a"].cast("string")).otherwise(F.concat_ws("-", r["a"].cast("string"), r["b"].cast("string"))))
     return runs.groupBy(*key).agg(F.array_join(text, ", ").alias("ranges"))
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framemill.operators.places import places
+
 
 def offsets_in_destination(df: DataFrame, destination: list[str], order: list[str], duration: str) -> DataFrame:
     """``from_timestamp, to_timestamp``: where each piece lies in the file it was packed into."""
@@ -54,9 +56,9 @@ def split_ranges(frames: DataFrame, ranges: DataFrame, index: str = "index") ->
 
 
 def task_dictionary(df: DataFrame, task: str, order: list[str]) -> DataFrame:
-    """``<task>, task_index``: tasks numbered as they first appear. A row a task, so small beside the frames."""
+    """``<task>, task_index``: tasks numbered as they first appear."""
     first = df.filter(F.col(task).isNotNull()).groupBy(task).agg(F.min(F.struct(*order)).alias("__f"))
-    return first.select(task, (F.row_number().over(Window.orderBy("__f", task)) - 1).cast("bigint").alias("task_index"))
+    return places(first, [], ["__f", task], "task_index").select(task, "task_index")
 
 
 def chunk_of(index: Column, size: int) -> Column:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from framemill.operators.places import places
 from framemill.operators.scans import positions
+from framemill.session import cut_lineage
 
 #: Rows whose content identifies the start of an episode.
 PREFIX_ROWS = 8
@@ -38,11 +39,13 @@ def fingerprints(frames: DataFrame, columns: list[str], prefix_rows: int = PREFI
 
 def pair_digests(a: DataFrame, b: DataFrame, digest: str) -> DataFrame:
     """``one, other``: episodes of both sides with equal digests, in index order; a digest that occurs a different number of times on the two sides pairs nothing."""
+    counts = [d.groupBy(digest).agg(F.count(F.lit(1)).alias("n")) for d in (a, b)]
+    even = cut_lineage(counts[0].join(counts[1], [digest, "n"]).select(digest))
     sides = []
     for df, name in ((a, "one"), (b, "other")):
-        same = Window.partitionBy(digest)
-        sides.append(df.select(F.col("episode_index").alias(name), digest, F.count(F.lit(1)).over(same).alias("n"), F.row_number().over(same.orderBy("episode_index")).alias("place")))
-    return sides[0].join(sides[1], [digest, "n", "place"]).select("one", "other")
+        wanted = df.select(F.col("episode_index").alias(name), digest).join(even, digest, "left_semi")
+        sides.append(places(wanted, [digest], [name]).drop("place_of"))
+    return sides[0].join(sides[1], [digest, "place"]).select("one", "other")
 
 
 def pair_episodes(a: DataFrame, b: DataFrame) -> DataFrame:

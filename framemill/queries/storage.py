@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framemill.operators import bins, metadata, scans
+from framemill.operators.places import places
 from framemill.registry import query, table
 from framemill.views import FRAMES_SQL, frames
 
@@ -71,19 +72,15 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("smallest_first", "SELECT dataset, file_id, kb, row_number() OVER (PARTITION BY dataset ORDER BY kb, file_id) AS up, row_number() OVER (PARTITION BY dataset ORDER BY kb DESC, file_id) AS down FROM f".replace("FROM f", f"FROM (WITH {_FILES} SELECT * FROM f)"))
 def smallest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of each file from the smallest up and from the largest down."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("dataset")
-    return _files(spark, sf_dir).select("dataset", "file_id", "kb", F.row_number().over(w.orderBy("kb", "file_id")).cast("bigint").alias("up"), F.row_number().over(w.orderBy(F.desc("kb"), "file_id")).cast("bigint").alias("down"))
+    up = places(_files(spark, sf_dir), ["dataset"], ["kb", "file_id"], "u")
+    both = places(up.drop("u_of"), ["dataset"], ["kb", "file_id"], "d", descending=True)
+    return both.select("dataset", "file_id", "kb", (F.col("u") + 1).alias("up"), (F.col("d") + 1).alias("down"))
 
 
 @query("size_sample", f"WITH {_FILES}, r AS (SELECT dataset, file_id, row_number() OVER (PARTITION BY dataset ORDER BY kb, file_id) - 1 AS i, count(*) OVER (PARTITION BY dataset) AS n FROM f) SELECT dataset, file_id FROM r WHERE n <= 5 OR i IN (CAST(floor(0 * n / 5.0::DOUBLE) AS BIGINT), CAST(floor(1 * (n / 5.0::DOUBLE)) AS BIGINT), CAST(floor(2 * (n / 5.0::DOUBLE)) AS BIGINT), CAST(floor(3 * (n / 5.0::DOUBLE)) AS BIGINT), CAST(floor(4 * (n / 5.0::DOUBLE)) AS BIGINT))")
 def size_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five files of each dataset, spread over the sizes."""
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("dataset")
-    rows = _files(spark, sf_dir).withColumn("i", F.row_number().over(w.orderBy("kb", "file_id")) - 1).withColumn("n", F.count(F.lit(1)).over(w))
+    rows = places(_files(spark, sf_dir), ["dataset"], ["kb", "file_id"], "i").withColumnRenamed("i_of", "n")
     steps = F.array(*[F.floor(F.lit(float(k)) * (F.col("n") / 5.0)) for k in range(5)])
     return rows.filter((F.col("n") <= 5) | F.array_contains(steps, F.col("i").cast("bigint"))).select("dataset", "file_id")
 
@@ -238,18 +235,6 @@ def top_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("positional_sample", "WITH f AS (SELECT DISTINCT file_path FROM parquet_files), r AS (SELECT file_path, row_number() OVER (ORDER BY file_path) - 1 AS i, count(*) OVER () AS n FROM f) SELECT file_path FROM r WHERE i % greatest(1, n // 100) = 0 AND i // greatest(1, n // 100) < 100")
 def positional_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A hundred files, evenly spread over the sorted listing."""
-    files = table(spark, sf_dir, "parquet_files").select("file_path").dropDuplicates()
-    n = files.count()
-    step = max(1, n // 100)
-    ranked = files.orderBy("file_path")
-    # Places come from sorted ranges and the ranges' sizes, not from one window over all files.
-    parts = ranked.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    from framemill.session import cut_lineage
-
-    parts = cut_lineage(parts)
-    from pyspark.sql.window import Window
-
-    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("k"))
-    offsets = sizes.select("part", F.coalesce(F.sum("k").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    place = F.col("offset") + F.col("at")
-    return parts.join(offsets, "part").filter((place % step == 0) & (F.floor(place / step) < 100)).select("file_path")
+    files = places(table(spark, sf_dir, "parquet_files").select("file_path").dropDuplicates(), [], ["file_path"])
+    step = F.greatest(F.lit(1), F.expr("place_of div 100"))
+    return files.filter((F.col("place") % step == 0) & (F.floor(F.col("place") / step) < 100)).select("file_path")
