@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from framemill.operators.blocks import BLOCK, Blocked, boxed
 from framemill.operators.places import places
+from framemill.session import cut_lineage
 
 #: Microseconds of one block of a time-ordered scan (about a minute).
 TIME_BLOCK = 1 << 26
@@ -53,6 +54,7 @@ def nearest_claimed(samples: DataFrame, references: DataFrame, time_block: int =
     rows = b.rows().withColumns({"__seen": seen, "__prev": before, "__next": after}).filter("kind = 0 and __n > 0")
     back = F.col("__prev").isNotNull() & (F.col("__next").isNull() | (F.col("t") - F.col("__prev") < F.col("__next") - F.col("t")))
     wishes = rows.select("episode_index", "stream", "reference_id", "t", F.when(back, F.col("__seen") - 1).otherwise(F.col("__seen")).alias("wish"), F.col("__n").alias("n"))
+    wishes = cut_lineage(wishes)  # read once for the runs and once for the claims
 
     runs = wishes.groupBy("episode_index", "stream", "wish").agg(F.count(F.lit(1)).alias("size")).withColumn("stream_key", F.struct("episode_index", "stream"))
     r = Blocked(runs, episode="stream_key", order="wish", size=block)

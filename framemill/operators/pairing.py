@@ -40,18 +40,18 @@ def fingerprints(frames: DataFrame, columns: list[str], prefix_rows: int = PREFI
 def pair_digests(a: DataFrame, b: DataFrame, digest: str) -> DataFrame:
     """``one, other``: episodes of both sides with equal digests, in index order; a digest that occurs a different number of times on the two sides pairs nothing."""
     counts = [d.groupBy(digest).agg(F.count(F.lit(1)).alias("n")) for d in (a, b)]
-    even = cut_lineage(counts[0].join(counts[1], [digest, "n"]).select(digest))
-    sides = []
-    for df, name in ((a, "one"), (b, "other")):
-        wanted = df.select(F.col("episode_index").alias(name), digest).join(even, digest, "left_semi")
-        sides.append(places(wanted, [digest], [name]).drop("place_of"))
-    return sides[0].join(sides[1], [digest, "place"]).select("one", "other")
+    even = counts[0].join(counts[1], [digest, "n"]).select(digest)
+    sides = [d.select(F.lit(i).alias("side"), "episode_index", digest).join(even, digest, "left_semi") for i, d in enumerate((a, b))]
+    placed = places(sides[0].unionByName(sides[1]), ["side", digest], ["episode_index"]).drop("place_of")
+    one, other = (placed.filter(F.col("side") == i).select(F.col("episode_index").alias(n), digest, "place") for i, n in enumerate(("one", "other")))
+    return one.join(other, [digest, "place"]).select("one", "other")
 
 
 def pair_episodes(a: DataFrame, b: DataFrame) -> DataFrame:
     """``one, other, basis, row_delta`` of two sets of fingerprints: ``exact`` pairs first, then ``prefix`` pairs of what is
     left; the rest as ``one_only`` and ``other_only``. ``row_delta`` is the length of one less that of the other."""
-    exact = pair_digests(a, b, "whole").withColumn("basis", F.lit("exact"))
+    a, b = cut_lineage(a), cut_lineage(b)  # a row an episode, read several times below
+    exact = cut_lineage(pair_digests(a, b, "whole").withColumn("basis", F.lit("exact")))
     rest_a = a.join(exact, a.episode_index == exact.one, "left_anti")
     rest_b = b.join(exact, b.episode_index == exact.other, "left_anti")
     pairs = exact.unionByName(pair_digests(rest_a, rest_b, "prefix").withColumn("basis", F.lit("prefix")))
