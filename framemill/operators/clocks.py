@@ -95,3 +95,14 @@ def clock_rate(rows: DataFrame, time: str, layout: str, block: int = BLOCK) -> D
     steps = b.rows().withColumn("__before", b.lag("__lag", F.col(time))).select("episode_index", step)
     positive: Column = F.avg(F.when(F.col("step") > 0, F.col("step").cast("double")))
     return steps.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n"), (F.lit(1000.0) / positive).alias("fps")).withColumn("span", F.lit(None).cast("bigint"))
+
+
+#: Alignment strategies by name.
+STRATEGIES = {"index": by_position, "nearest_timestamp_dedup": nearest_claimed}
+
+
+def align(strategy: str, *args: object, **kwargs: object) -> DataFrame:
+    """Align by a strategy of the closed set."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown clock strategy {strategy}; known are {', '.join(sorted(STRATEGIES))}")
+    return STRATEGIES[strategy](*args, **kwargs)

@@ -17,7 +17,7 @@ _SPELLED = "replace(replace(lower(trim(dataset)), ' ', '_'), '-', '_')"
 
 def dataset_totals(candidates: DataFrame) -> DataFrame:
     """Rows and the sum of positive episodes by dataset, spellings brought together; the null dataset keeps its row."""
-    spelled = F.translate(F.lower(F.trim("dataset")), " -", "__")
+    spelled = F.translate(F.lower(F.regexp_replace("dataset", r"^\s+|\s+$", "")), " -", "__")
     return key_totals(candidates, spelled, ["plan_id", "slot"], {"episodes": F.when(F.col("episodes") > 0, F.col("episodes"))})
 
 
