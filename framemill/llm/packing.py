@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from framemill.llm.tokens import TOKENIZERS, VOCABULARY, _encoder, slices, vocabulary_file
 from framemill.session import cut_lineage, spread
@@ -31,27 +32,32 @@ LEAST_SHARE = 0.25
 K1, B = 1.2, 0.75
 
 _ITEM = "doc_id bigint, piece int, start_token bigint, n_tokens bigint, terms array<int>, counts array<int>"
-_PLACED = "container_id string, position int, doc_id bigint, piece int, start_token bigint, n_tokens bigint, terms array<int>, counts array<int>, reopen boolean"
+_PLACED = "container_id string, position int, doc_id bigint, piece int, start_token bigint, n_tokens bigint, terms array<int>, counts array<int>, reopen boolean, nth int"
 
 
 def containers(documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", capacity: int = 2048, shard_items: int = SHARD_ITEMS, folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
     """``container_id, position, doc_id, piece, start_token, n_tokens``: the place of every text.
 
     Only a text of more than ``capacity`` tokens is split: into full containers and a last piece, which is packed like
-    any text. ``container_id`` names the first text in it (``<doc_id>:<piece>``), ``position`` is the order in it.
-    Null and empty texts need no room: they have one row with container_id and position null and 0 tokens. Ids must be
-    unique BIGINTs and not null. Which texts share a container depends on the ids and texts alone.
+    any text. ``container_id`` names the first text in it (``<doc_id>:<piece>``, with ``:full`` where that piece fills it),
+    ``position`` is the order in it.
+    Null and empty texts need no room: they have one row with container_id and position null and 0 tokens. Every row is an
+    item of its own: repeated and null ids too, whose containers are told apart by ``#2`` and so on. Ids are BIGINTs.
+    Which texts share a container depends on the ids and texts alone.
     """
     items = _items(documents, id_column, text_column, capacity, folder, vocabulary)
     items = cut_lineage(items)
     full = F.col("n_tokens") == capacity
-    alone = items.filter(full).select(F.concat_ws(":", "doc_id", "piece").alias("container_id"), F.lit(0).alias("position"), "doc_id", "piece", "start_token", "n_tokens")
+    nth = F.row_number().over(Window.partitionBy("doc_id", "piece").orderBy("start_token"))
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), "piece", F.lit(":full"), F.when(nth > 1, F.concat(F.lit("#"), nth)).otherwise(F.lit("")))
+    alone = items.filter(full).select("doc_id", "piece", "start_token", "n_tokens").select(name.alias("container_id"), F.lit(0).alias("position"), "doc_id", "piece", "start_token", "n_tokens")
     none = items.filter("n_tokens = 0").select(F.lit(None).cast("string").alias("container_id"), F.lit(None).cast("int").alias("position"), "doc_id", "piece", "start_token", "n_tokens")
     rest = items.filter(~full & (F.col("n_tokens") > 0))
     shards = max(1, -(-rest.count() // shard_items))
     done = [alone, none]
     columns = ["container_id", "position", "doc_id", "piece", "start_token", "n_tokens"]
-    rest = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    # Rows with one id meet in one shard, where they are numbered; 0 is yet without number.
+    rest = rest.withColumn("nth", F.lit(0)).withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
     while True:
         last = shards == 1
         placed = rest.groupBy("shard").applyInArrow(_packer(capacity, 0.0 if last else REOPEN), _PLACED + ", shard bigint")
@@ -61,7 +67,7 @@ def containers(documents: DataFrame, *, id_column: str = "doc_id", text_column:
         placed = cut_lineage(placed)
         done.append(placed.filter("not reopen").select(*columns))
         shards = -(-shards // TOGETHER)
-        rest = placed.filter("reopen").select("doc_id", "piece", "start_token", "n_tokens", "terms", "counts", F.floor(F.col("shard") / TOGETHER).alias("shard"))
+        rest = placed.filter("reopen").select("doc_id", "piece", "start_token", "n_tokens", "terms", "counts", "nth", F.floor(F.col("shard") / TOGETHER).alias("shard"))
     out = done[0]
     for df in done[1:]:
         out = out.unionByName(df)
@@ -75,7 +81,7 @@ def _items(documents: DataFrame, id_column: str, text_column: str, capacity: int
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            doc_ids = batch.column(0).to_numpy(zero_copy_only=False)
+            doc_ids = batch.column(0).to_pylist()
             for start, texts in slices(batch.column(1).to_pylist()):
                 ids, offsets = encoder.encode(texts)
                 doc, piece, begin, size, terms, counts = [], [], [], [], [], []
@@ -164,16 +170,24 @@ def _packer(capacity: int, reopen: float) -> Callable:
 
 
 def _pack_shard(table: pa.Table, capacity: int, reopen: float) -> pa.Table:
-    table = table.combine_chunks().sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending")]).combine_chunks()
+    table = table.combine_chunks()
+    table = table.append_column("first_term", pc.list_element(table["terms"], 0)) if table.num_rows else table
+    table = table.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("first_term", "ascending")]).combine_chunks()
     sizes = table["n_tokens"].to_numpy()
     index = InvertedIndex(table["terms"].chunk(0), table["counts"].chunk(0), sizes)
     held = fill(sizes, index, capacity)
-    docs, pieces = table["doc_id"].to_numpy(), table["piece"].to_numpy()
+    docs, pieces = table["doc_id"].to_pylist(), table["piece"].to_pylist()
     at = np.array([i for c in held for i in c])
-    name = [f"{docs[c[0]]}:{pieces[c[0]]}" for c in held for _ in c]
+    nth = table["nth"].to_pylist()
+    if not any(nth):
+        used: dict[tuple, int] = {}
+        for i, item in enumerate(zip(docs, pieces, strict=True)):
+            nth[i] = used[item] = used.get(item, 0) + 1
+    label = lambda i: f"{'null' if docs[i] is None else docs[i]}:{pieces[i]}" + (f"#{nth[i]}" if nth[i] > 1 else "")
+    name = [label(c[0]) for c in held for _ in c]
     again = np.array([reopen > 0 and sizes[c].sum() < (1 - reopen) * capacity for c in held for _ in c])
     out = table.take(pa.array(at))
     keep = pa.array(again)
     hidden = [pc.if_else(keep, out[c].combine_chunks(), pa.scalar(None, out.schema.field(c).type)) for c in ("terms", "counts")]
-    columns = [pa.array(name, pa.string()), pa.array([k for c in held for k in range(len(c))], pa.int32()), out["doc_id"], out["piece"], out["start_token"], out["n_tokens"], *hidden, keep, out["shard"]]
-    return pa.table(columns, names=["container_id", "position", "doc_id", "piece", "start_token", "n_tokens", "terms", "counts", "reopen", "shard"])
+    columns = [pa.array(name, pa.string()), pa.array([k for c in held for k in range(len(c))], pa.int32()), out["doc_id"], out["piece"], out["start_token"], out["n_tokens"], *hidden, keep, pa.array([nth[i] for i in at], pa.int32()), out["shard"]]
+    return pa.table(columns, names=["container_id", "position", "doc_id", "piece", "start_token", "n_tokens", "terms", "counts", "reopen", "nth", "shard"])

@@ -56,6 +56,21 @@ def test_the_same_texts_give_the_same_containers(spark):
     assert one == two
 
 
+def test_repeated_and_null_ids_are_items_of_their_own(spark):
+    long = " ".join(WORDS * 3)
+    rows = [(1, long), (1, long), (None, long), (None, "arm"), (1, "arm"), (None, None), (1, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    placed = containers(df, capacity=16).collect()
+    sizes = sorted(len(r["ids"]) for r in token_ids(df).collect())
+    assert sum(r["n_tokens"] for r in placed) == sum(sizes)
+    assert sum(r["container_id"] is None for r in placed) == 2
+    full = {}
+    for r in placed:
+        if r["container_id"] is not None:
+            full.setdefault(r["container_id"], []).append(r["n_tokens"])
+    assert all(sum(v) <= 16 for v in full.values())
+
+
 def test_no_documents(spark):
     assert containers(documents(spark).limit(0)).count() == 0
 
