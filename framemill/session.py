@@ -56,10 +56,11 @@ def task_target(spark: SparkSession) -> int:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a CPU-heavy input only when its scan has fewer splits than the cluster has cores.
 
-    The split count comes from the plan; no rows are read.
+    The split count comes from the plan; no rows are read. An input that a shuffle made is left as it is.
     """
     spark = df.sparkSession
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= spark.sparkContext.defaultParallelism:
+    execution = df._jdf.queryExecution()
+    if execution.executedPlan().nodeName() == "AdaptiveSparkPlan" or execution.toRdd().getNumPartitions() >= spark.sparkContext.defaultParallelism:
         return df
     return df.repartition(task_target(spark), *[F.col(k) for k in keys])
 

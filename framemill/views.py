@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framemill.functions.rowhash import row_digest
 from framemill.registry import table
 
 #: SQL: the current row of every (episode_index, frame_index).
@@ -14,18 +15,14 @@ DELIVERED_SQL = CURRENT_FRAMES.format(t="frames_delivered")
 
 
 def newest(df: DataFrame, key: list[str], version: str, columns: list[str]) -> DataFrame:
-    """The row with the largest ``version`` of each key, combined before the shuffle; among equal versions the larger row."""
+    """The row with the largest ``version`` of each key, combined before the shuffle; among equal versions the one with the larger digest."""
     kept = [c for c in columns if c not in key]
     if not kept:
         return df.select(*key).dropDuplicates()
-    best = F.max_by(F.struct(*kept), F.struct(version, *[c for c in kept if c != version and not _unordered(df, c)]))
+    best = F.max_by(F.struct(*kept), F.struct(version, row_digest(df, *kept)))
     return df.groupBy(*key).agg(best.alias("newest_row")).select(*key, *[F.col(f"newest_row.{c}").alias(c) for c in kept])
 
 
-def _unordered(df: DataFrame, column: str) -> bool:
-    return "map<" in dict(df.dtypes)[column]
-
-
 def frames(spark: SparkSession, sf_dir: str, *columns: str, name: str = "frames") -> DataFrame:
     """The current frames with the named columns besides the key."""
     return newest(table(spark, sf_dir, name), ["episode_index", "frame_index"], "loaded_at", ["episode_index", "frame_index", *columns])
