@@ -33,6 +33,8 @@ class Sizes:
 TIER_WIDTHS = (2, 4, 8, None)
 #: Files that a run of one tier merges at least, size permitting.
 FAN_IN = 4
+#: A file counts as at least this part of the lowest tier's top, which bounds the files of one output.
+LEAST_PART = 64
 
 
 def small_files(files: DataFrame, sizes: dict[str, Sizes]) -> DataFrame:
@@ -45,15 +47,16 @@ def compaction_journal(files: DataFrame, sizes: dict[str, Sizes], *, shard_files
 
     ``files``   ``kind STRING, grp STRING, file_key BIGINT, size DOUBLE`` of distinct files; files are only merged
                 within ``(kind, grp)`` (a null group is a group). Files that aren't small are left alone. An unknown,
-                negative or NaN size is planned as the top of the lowest tier.
+                negative or NaN size is planned as the top of the lowest tier, any other as at least a 64th of that.
     ``input``   an original file is ``<kind>:<file_key>`` and has its ``file_key``; an output of an earlier level bears
                 that transaction's id and has file_key null.
-    ``txn``     digest of level and sorted inputs; ``output`` is the file it makes, named after it.
+    ``txn``     digest of level and set of inputs; ``output`` is the file it makes, named after it.
 
     Every small original is the input of exactly one transaction, and so is every output that is still small, but for
     the last level's. A file without any company at the last level has a transaction of its own. No files, no rows.
     """
-    size = F.when(F.col("size").isNull() | F.isnan("size") | (F.col("size") < 0), _by_kind(sizes, "unit")).otherwise(F.col("size"))
+    unit = _by_kind(sizes, "unit")
+    size = F.when(F.col("size").isNull() | F.isnan("size") | (F.col("size") < 0), unit).otherwise(F.greatest(F.col("size"), unit / LEAST_PART))
     name = F.concat_ws(":", "kind", F.col("file_key").cast("string"))
     items = small_files(files, sizes).select("kind", "grp", name.alias("input"), "file_key", size.alias("size"))
     steps = []
@@ -79,7 +82,9 @@ def compaction_journal(files: DataFrame, sizes: dict[str, Sizes], *, shard_files
             merged = merged.withColumn("goes", F.col("n") > 1)
         else:
             merged = merged.withColumn("goes", F.lit(True))
-        digest = F.sha2(F.concat_ws("\n", F.lit(str(level)), F.array_sort(F.collect_list("input").over(whole))), 256)
+        # A digest of the set of inputs that needs no list of them: two exclusive-or sums and their number.
+        parts = [F.bit_xor(F.xxhash64(F.lit(seed), "input")).over(whole).cast("string") for seed in (1, 2)]
+        digest = F.sha2(F.concat_ws(":", F.lit(str(level)), "n", *parts), 256)
         merged = cut_lineage(merged.withColumn("txn", F.when(F.col("goes"), F.substring(digest, 1, 24))))
         taken = merged.filter("goes").withColumn("level", F.lit(level))
         steps.append(taken.select("txn", "level", "kind", "grp", "tier", "input", "file_key", "size", F.concat_ws(":", "kind", "txn").alias("output")))
