@@ -26,7 +26,6 @@ _SPACED = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][ .\-_*]){2,}[^\W\d_](?![^\W\d_])
 _TWICE = re.compile(r"([^\W\d_])\1+")
 _HEX = re.compile(r"\b(?=[a-f]*\d)[\da-f]{6,}\b")
 _LEET = re.compile(r"[a-z0-9@$!|]*[0134578@$!|][a-z][a-z0-9@$!|]*")
-_BLANK = re.compile(r"[\s_]+")
 
 
 def plain(text: str) -> str:
@@ -38,7 +37,7 @@ def plain(text: str) -> str:
     text = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), text)
     text = _LEET.sub(lambda m: m[0].translate(_SPELLED), _HEX.sub("#", text))
     text = _NUMBER.sub("0", text)
-    return _BLANK.sub(" ", _TWICE.sub(r"\1", text)).strip()
+    return " ".join(_TWICE.sub(r"\1", text).replace("_", " ").split())
 
 
 def _latin(text: str) -> bool:
