@@ -149,10 +149,12 @@ def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(spark, streaming.distinct_rows(_stream(spark, sf_dir, "events"), "ts", ["event_id"])).select("event_id", "user_id", "event_type")
 
 
-@query("stream_windows")
+@query("stream_windows", """SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value) + 1e-9, 6) AS total FROM events
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR GROUP BY ALL""")
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of tumbling windows that the watermark has closed."""
-    return _drained(spark, streaming.windowed_totals(_stream(spark, sf_dir, "events"), "ts", "event_type", "value"))
+    closed = _drained(spark, streaming.windowed_totals(_stream(spark, sf_dir, "events"), "ts", "event_type", "value"))
+    return closed.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round(F.col("total") + 1e-9, 6).alias("total"))
 
 
 @query("stream_gripper", f"""WITH s AS (SELECT episode_index, frame_index, CASE WHEN gripper - 0.5 < -0.1 THEN 1 WHEN gripper - 0.5 > 0.1 THEN -1 END AS s FROM (SELECT DISTINCT episode_index, frame_index, gripper FROM {FRAMES_SQL} WHERE gripper IS NOT NULL AND NOT isnan(gripper)))
