@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from framemill.operators import pairing, statistics
 from framemill.session import cut_lineage
 
-#: Paired episodes compared in full, and the share of a span that distributions may differ by.
+#: Pairs of ``sample_both_ends``, and the share of a span that distributions may differ by.
 SAMPLE_EPISODES, DISTRIBUTION_TOLERANCE = 64, 1e-6
 MOMENTS = ["min", "max", "mean", "std"]
 _QUANTILES = {"q01": 0.01, "q50": 0.5, "q99": 0.99}
@@ -42,18 +42,17 @@ def shared_gap(pairs: DataFrame, a: DataFrame, b: DataFrame, columns: list[str],
     return statistics.distribution_gap(sides[0], sides[1], "feature", [*MOMENTS, *_QUANTILES])
 
 
-def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44, sample: int = SAMPLE_EPISODES) -> DataFrame:
+def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44) -> DataFrame:
     """One row: ``exact, prefix, one_only, other_only, moved, declarations_agree, values_agree, prompts_agree, distributions_agree, agree, reasons``.
 
-    Episode counts are reported, never judged. ``a`` and ``b`` are the current frames of the two copies.
+    Values are compared over all pairs, not a sample. Episode counts are reported, never judged. ``a`` and ``b`` are the current frames of the two copies.
     """
     prints = [pairing.fingerprints(d, columns) for d in (a, b)]
     pairs = cut_lineage(pairing.pair_episodes(*prints))
     paired = pairs.filter(F.col("basis").isin("exact", "prefix"))
     counts = pairing.pairing_summary(pairs)
     declared = pairing.path_difference(declaration(a), declaration(b), ["total_frames", "total_episodes"]).agg((F.count_if(F.col("bucket").isin("one_sided", "differences")) == 0).alias("declarations_agree"))
-    sampled = pairing.first_divergence(pairing.both_ends(paired, "one", sample), a, b, columns)
-    values = sampled.agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("values_agree"))
+    values = pairing.first_divergence(paired, a, b, columns).agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("values_agree"))
     prompts = prompt_check(paired, a, b).agg((F.count(F.lit(1)) == 0).alias("prompts_agree"))
     gaps = shared_gap(paired, a, b, columns, width).agg(F.coalesce(F.bool_and(F.col("gap") <= DISTRIBUTION_TOLERANCE), F.lit(True)).alias("distributions_agree"))
     # Each part is one row of flags; they're put side by side on a constant.
