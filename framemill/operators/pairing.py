@@ -62,6 +62,14 @@ def pair_episodes(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select("one", "other", basis.alias("basis"), (F.col("rows_one") - F.col("rows_other")).alias("row_delta"))
 
 
+def pair_places(pairing: DataFrame) -> DataFrame:
+    """``one, other``: the episodes of a pairing by their place in each side's index order; ``other`` is null past the other side's last."""
+    sides = [pairing.filter(F.col(n).isNotNull()).select(F.lit(i).alias("side"), F.col(n).alias("episode_index")) for i, n in enumerate(("one", "other"))]
+    placed = places(sides[0].unionByName(sides[1]), ["side"], ["episode_index"]).drop("place_of")
+    one, other = (placed.filter(F.col("side") == i).select(F.col("episode_index").alias(n), "place") for i, n in enumerate(("one", "other")))
+    return one.join(other, "place", "left").select("one", "other")
+
+
 def pairing_summary(pairing: DataFrame) -> DataFrame:
     """Counts of one row: exact and prefix pairs, leftovers, moved episodes, equal lengths among prefix pairs, the worst row difference."""
     b = F.col("basis")

@@ -45,16 +45,24 @@ def shared_gap(pairs: DataFrame, a: DataFrame, b: DataFrame, columns: list[str],
 def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44) -> DataFrame:
     """One row: ``exact, prefix, one_only, other_only, moved, declarations_agree, values_agree, prompts_agree, distributions_agree, agree, reasons``.
 
-    Values are compared over all pairs, not a sample. Episode counts are reported, never judged. ``a`` and ``b`` are the current frames of the two copies.
+    Values are compared over all pairs, not a sample. Where nothing pairs, episodes meet by their place in index order, and
+    one of ``a`` without a counterpart disagrees. Else episode counts are reported, never judged. ``a`` and ``b`` are the current frames of the two copies.
     """
     prints = [pairing.fingerprints(d, columns) for d in (a, b)]
     pairs = cut_lineage(pairing.pair_episodes(*prints))
-    paired = pairs.filter(F.col("basis").isin("exact", "prefix"))
+    paired = pairs.filter(F.col("basis").isin("exact", "prefix")).select("one", "other")
+    complete = True
+    if paired.isEmpty():
+        # Wrong values throughout leave nothing paired; the episodes are then compared in index order.
+        placed = cut_lineage(pairing.pair_places(pairs))
+        paired, complete = placed.filter("other is not null"), placed.filter("other is null").isEmpty()
+    # Where neither side has an episode there is nothing to disagree; else a comparison of nothing isn't agreement.
+    agreed = not paired.isEmpty() or pairs.isEmpty()
     counts = pairing.pairing_summary(pairs)
     declared = pairing.path_difference(declaration(a), declaration(b), ["total_frames", "total_episodes"]).agg((F.count_if(F.col("bucket").isin("one_sided", "differences")) == 0).alias("declarations_agree"))
-    values = pairing.first_divergence(paired, a, b, columns).agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("values_agree"))
-    prompts = prompt_check(paired, a, b).agg((F.count(F.lit(1)) == 0).alias("prompts_agree"))
-    gaps = shared_gap(paired, a, b, columns, width).agg(F.coalesce(F.bool_and(F.col("gap") <= DISTRIBUTION_TOLERANCE), F.lit(True)).alias("distributions_agree"))
+    values = pairing.first_divergence(paired, a, b, columns).agg((F.coalesce(F.bool_and("ok"), F.lit(agreed)) & F.lit(complete)).alias("values_agree"))
+    prompts = prompt_check(paired, a, b).agg(((F.count(F.lit(1)) == 0) & F.lit(agreed)).alias("prompts_agree"))
+    gaps = shared_gap(paired, a, b, columns, width).agg(F.coalesce(F.bool_and(F.col("gap") <= DISTRIBUTION_TOLERANCE), F.lit(agreed)).alias("distributions_agree"))
     # Each part is one row of flags; they're put side by side on a constant.
     row = counts.select("exact", "prefix", "one_only", "other_only", "moved").withColumn("__k", F.lit(1))
     for part in (declared, values, prompts, gaps):

@@ -38,3 +38,19 @@ def test_value_in_a_middle_episode(spark, whole):
 def test_length_of_a_middle_episode(spark, whole):
     assert not judged(copy(spark, rows=lambda e: ROWS - (3 if e == 35 else 0)), whole)["values_agree"]
     assert judged(copy(spark, rows=lambda e: ROWS - (2 if e == 35 else 0)), whole)["values_agree"]
+
+
+def test_nothing_pairs(spark):
+    """Every value differs: the copies share nothing, and are compared by place."""
+    row = judged(copy(spark, state=lambda e, f: e + 0.5, episodes=5), copy(spark, episodes=5))
+    assert (row["exact"], row["prefix"], row["one_only"], row["other_only"]) == (0, 0, 5, 5)
+    assert row["prompts_agree"] and not row["values_agree"] and not row["distributions_agree"] and not row["agree"]
+    assert row["reasons"] == ["sampled episodes differ", "the shared episodes do not describe the same distribution"]
+
+
+def test_nothing_pairs_with_an_empty_side(spark):
+    """Neither an empty copy nor one with fewer episodes agrees for want of a comparison."""
+    empty, one, short = copy(spark, episodes=0), copy(spark, episodes=1), copy(spark, episodes=2, rows=lambda e: 4)
+    for a, b in ((one, empty), (empty, one), (short, copy(spark, episodes=1, rows=lambda e: 5))):
+        row = judged(a, b)
+        assert not row["values_agree"] and not row["agree"]
