@@ -132,6 +132,29 @@ def episode_meta_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairing.stat_blocks(paired, *stats, ["min", "max", "mean"], 1e-6).withColumn("worst", F.round(F.col("worst") + 1e-9, 6))
 
 
+_BLOCKS = " UNION ALL ".join(f"SELECT episode_index, '{c}' AS feature, i - 1 AS dim, min({c}[i]::DOUBLE) AS min, max({c}[i]::DOUBLE) AS max, avg({c}[i]::DOUBLE) AS mean, stddev_pop({c}[i]::DOUBLE) AS std FROM {{t}}, generate_series(1, 44) AS g(i) WHERE len({c}) = 44 AND NOT isnan({c}[i]) GROUP BY ALL" for c in COLUMNS)
+
+
+def meta_tally(paired: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """Over both vectors and all of their moments, how many pairs differ."""
+    sides = []
+    for d in (a, b):
+        parts = [statistics.vector_values(d, ["episode_index"], c, WIDTH).withColumn("feature", F.lit(c)) for c in COLUMNS]
+        sides.append(parts[0].unionByName(parts[1]).groupBy("episode_index", "feature", "dim").agg(*statistics.moments()))
+    return pairing.stat_blocks(paired, *sides, funnel.MOMENTS, 1e-6).withColumn("worst", F.round(F.col("worst") + 1e-9, 6))
+
+
+@query("episode_meta_tally_all", f"""{_COMMON}, sa AS ({_BLOCKS.format(t="a")}), sb AS ({_BLOCKS.format(t="b")}),
+    l AS (SELECT p.one, x.feature, unnest(['min', 'max', 'mean', 'std']) AS stat, unnest([abs(x.min - y.min), abs(x.max - y.max), abs(x.mean - y.mean), abs(x.std - y.std)]) AS gap, unnest([y.min = 0, y.max = 0, y.mean = 0, y.std = 0]) AS zero
+      FROM pairing p JOIN sa x ON x.episode_index = p.one JOIN sb y ON y.episode_index = p.other AND y.feature = x.feature AND y.dim = x.dim WHERE basis IN ('exact', 'prefix')),
+    q AS (SELECT one, feature, stat, max(gap) AS gap, bool_and(zero) AS zero FROM l GROUP BY ALL)
+    SELECT feature, stat, count(*) AS seen, count(CASE WHEN gap > 1e-6 THEN 1 END) AS bad, round(coalesce(max(CASE WHEN gap > 1e-6 THEN gap END), 0) + 1e-9, 6) AS worst, bool_and(zero) AS zeroed FROM q GROUP BY ALL""")
+def episode_meta_tally_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics that differ between paired episodes, of state and action alike; ``episode_meta_tally`` has the action's min, max and mean."""
+    paired = cut_lineage(_pairs(spark, sf_dir).filter(F.col("basis").isin("exact", "prefix")))
+    return meta_tally(paired, *_copies(spark, sf_dir))
+
+
 _FIRST_PROMPT = "SELECT episode_index, arg_min(prompt, frame_index) AS prompt FROM {t} WHERE prompt IS NOT NULL GROUP BY 1"
 
 
