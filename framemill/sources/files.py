@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +13,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framemill.session import cut_lineage, task_target
+
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     """The file system of a path and the path in it; Hadoop's ``file:/x`` is understood too."""
@@ -22,6 +25,11 @@ def filesystem(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), os.path.abspath(path)
 
 
+def no_pattern(path: str) -> str:
+    """The path for Spark's readers, which would take braces and the like for a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def write_files(df: DataFrame, root: str, name: Column, group: list[str], order: list[str], drop: list[str] | None = None) -> DataFrame:
     """``file, n_rows, n_bytes`` of the files written: one Parquet file for each value of ``name``, a row group for each ``group``.
 
@@ -108,6 +116,27 @@ def write_lines(df: DataFrame, path: str, order: list[str]) -> DataFrame:
     return lines.mapInArrow(run, "file string, n_rows bigint")
 
 
-def listing(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """``path, length, modificationTime`` of the files under a folder; nothing of their content is read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "length", "modificationTime")
+def walk(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
+    """``path, length`` of the files under a folder, found level by level: each folder is listed by a task.
+
+    ``path`` is below ``root``. Names that start with ``.`` or ``_`` are passed over, folders too, unless they are
+    partition folders (``_k=0``). A folder that isn't there has no files. Nothing of the files' content is read.
+    """
+    found = "path string, length bigint, folder boolean"
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = filesystem(root)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                there = system.get_file_info(fs.FileSelector(f"{base}/{folder}" if folder else base, allow_not_found=True))
+                there = [i for i in there if not i.base_name.startswith((".", "_")) or (not i.is_file and "=" in i.base_name)]
+                paths = [f"{folder}/{i.base_name}" if folder else i.base_name for i in there]
+                yield pa.record_batch([pa.array(paths, pa.string()), pa.array([i.size for i in there], pa.int64()), pa.array([not i.is_file for i in there], pa.bool_())], names=["path", "length", "folder"])
+
+    level = cut_lineage(spark.createDataFrame([("",)], "path string").mapInArrow(look, found))
+    files = level.filter("not folder")
+    while n := level.filter("folder").count():
+        folders = level.filter("folder").select("path").repartition(min(n, task_target(spark)), "path")
+        level = cut_lineage(folders.mapInArrow(look, found))
+        files = files.unionByName(level.filter("not folder"))
+    return files.filter(F.col("path").endswith(suffix)).select("path", "length")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from framemill.functions.paths import resolved
 from framemill.operators.compaction import Sizes, compaction_journal, final_outputs
 from framemill.operators.components import component_labels, links_from_keys
-from framemill.queries.compaction import table_files, video_files
+from framemill.queries.compaction import audit, table_files, video_files
 from framemill.sources import compact
 
 SIZES = {"data": Sizes(small=16.0, good=64.0, unit=0.25), "video": Sizes(small=20.0, good=100.0, unit=1.0)}
@@ -85,6 +86,7 @@ def test_journal(spark):
     files = [(rng.choice(["data", "video"]), rng.choice(["a", "b", None]), i, rng.choice([None, float("nan"), -1.0, 0.0, 200.0, rng.random(), rng.random() * 18])) for i in range(800)]
     rows = journal(spark, files).collect()
     check_journal(rows, files)
+    assert all(r["once"] and r["linked"] and r["within"] for r in audit(journal(spark, files), SIZES).collect())
     ends = {r["output"] for r in final_outputs(journal(spark, files)).collect()}
     assert len(ends) < len({r["input"] for r in rows}) / 4
 
@@ -134,17 +136,102 @@ def test_video_files(spark):
     assert videos(spark, []) == {}
 
 
-def test_real_files_are_merged_once(spark, tmp_path):
+ALL_SMALL = Sizes(small=1.0, good=4.0, unit=0.001)
+
+
+def records(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+def total(spark, folder, state):
+    return compact.count_records(compact.live_files(spark, folder, state), folder, state)
+
+
+# Names that hold the word for a run, blanks, signs that patterns and encodings use.
+@pytest.mark.parametrize("name", ["lake/data/run-2026", "a folder 100%25 [x]{y}"])
+def test_real_files_are_merged_once(spark, tmp_path, name):
+    folder, state = f"{tmp_path}/{name}", f"{tmp_path}/state of {name}"
+    write = lambda df, n: df.repartition(n).write.mode("append").parquet(folder)
+    row = lambda ids, v: ids.select("id", v.alias("v"), F.col("id").alias("__name"), F.timestamp_micros(F.col("id") * 1000).alias("at"))
+    write(row(spark.range(5000), F.concat(F.lit("v"), F.col("id") % 7)), 30)
+    before = records(spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path)))
+    assert compact.compact(spark, folder, state, ALL_SMALL) == 30
+    assert compact.live_files(spark, folder, state).count() < 10
+    assert records(compact.read_live(spark, folder, state)) == before
+    compact.compact(spark, folder, state, ALL_SMALL)
+    write(row(spark.range(9000, 9010), F.lit("n")), 2)
+    assert total(spark, folder, state) == 5010
+    assert compact.compact(spark, folder, state, ALL_SMALL) >= 2
+    assert compact.read_live(spark, folder, state).count() == total(spark, folder, state) == 5010
+    assert compact.compact(spark, folder, state, ALL_SMALL) == 0
+    assert compact.read_live(spark, folder, state).schema["at"].dataType.typeName() == "timestamp"
+
+
+def test_large_files_stay_beside_merged_ones(spark, tmp_path):
+    """Files that aren't small, below a folder named like a run's, are live before and after."""
+    folder, state = f"{tmp_path}/data/run-1", f"{tmp_path}/state"
+    rows = lambda a, b: spark.range(a, b).select("id", F.randn(1).alias("x"))
+    rows(0, 3000).repartition(1).write.parquet(folder)
+    rows(3000, 3100).repartition(5).write.mode("append").parquet(folder)
+    sizes = Sizes(small=0.01, good=4.0, unit=0.001)
+    assert compact.compact(spark, folder, state, sizes) == 5
+    assert compact.read_live(spark, folder, state).count() == 3100
+    assert compact.live_files(spark, folder, state).count() == 2
+
+
+def test_partition_folders_stay_columns(spark, tmp_path):
+    folder, state = f"{tmp_path}/t", f"{tmp_path}/state"
+    rows = spark.range(400).select("id", (F.col("id") % 3).cast("int").alias("k"), F.when(F.col("id") % 5 > 0, F.concat(F.lit("a b/"), F.col("id") % 5)).alias("l"))
+    rows.repartition(6, "id").write.partitionBy("k", "l").parquet(folder)
+    before = records(spark.read.parquet(folder))
+    assert compact.compact(spark, folder, state, ALL_SMALL) > 15
+    live = compact.live_files(spark, folder, state)
+    assert live.count() == 15 and live.select("folder").distinct().count() == 15
+    out = compact.read_live(spark, folder, state)
+    assert records(out) == before and dict(out.dtypes) == {"id": "bigint", "k": "int", "l": "string"}
+
+
+def test_torn_run_is_taken_up(spark, tmp_path):
+    """A run without its journal changes nothing, and the next one takes over its files."""
+    folder, state = f"{tmp_path}/t", f"{tmp_path}/state"
+    spark.range(900).repartition(9).write.parquet(folder)
+    assert compact.compact(spark, folder, state, ALL_SMALL) == 9
+    (made,) = (tmp_path / "state" / "data").rglob("*.parquet")
+    (run,) = (tmp_path / "state" / "journal").iterdir()
+    shutil.move(run, tmp_path / "elsewhere")
+    assert total(spark, folder, state) == 900 and compact.live_files(spark, folder, state).count() == 9
+    stamp = made.stat().st_mtime_ns
+    assert compact.compact(spark, folder, state, ALL_SMALL) == 9
+    assert made.stat().st_mtime_ns == stamp and total(spark, folder, state) == 900
+    made.write_bytes(made.read_bytes()[:100])  # an output lost after all: an error, not fewer records
+    with pytest.raises(Exception, match="(?i)parquet"):
+        total(spark, folder, state)
+
+
+def test_journal_on_disk_holds_every_level(spark, tmp_path):
+    folder, state = f"{tmp_path}/t", f"{tmp_path}/state"
+    for n in (1, 40, 3000):
+        spark.range(n * 12).repartition(12).write.mode("append").parquet(folder)
+    compact.compact(spark, folder, state, Sizes(small=1.0, good=4.0, unit=0.0005))
+    rows = compact.journal(spark, state).collect()
+    assert len({r["level"] for r in rows}) > 1
+    assert sum(r["input_path"] is not None for r in rows) == len(list((tmp_path / "t").glob("*.parquet")))
+    outputs = {r["output"] for r in rows}
+    assert {r["input"] for r in rows if r["input_path"] is None} <= outputs
+
+
+def test_columns_that_some_files_lack_and_types_that_differ(spark, tmp_path):
     folder, state = f"{tmp_path}/t", f"{tmp_path}/state"
-    spark.range(5000).select("id", F.concat(F.lit("v"), F.col("id") % 7).alias("v"), F.col("id").alias("__name")).repartition(30).write.parquet(folder)
-    before = sorted(tuple(r) for r in spark.read.parquet(folder).collect())
-    sizes = Sizes(small=1.0, good=4.0, unit=0.001)
-    assert compact.compact(spark, folder, state, sizes) == 30
-    live = compact.live_files(spark, folder, state).count()
-    assert live < 10
-    assert sorted(tuple(r) for r in compact.read_live(spark, folder, state).collect()) == before
-    compact.compact(spark, folder, state, sizes)
-    spark.range(10).select(F.col("id") + 9000, F.lit("n").alias("v"), F.lit(1).cast("bigint").alias("__name")).toDF("id", "v", "__name").repartition(2).write.mode("append").parquet(folder)
-    assert compact.compact(spark, folder, state, sizes) >= 2
-    assert compact.read_live(spark, folder, state).count() == 5010
-    assert compact.compact(spark, folder, state, sizes) == 0
+    spark.range(3).coalesce(1).write.parquet(folder)
+    spark.range(3, 5).withColumn("x", F.lit("y")).coalesce(1).write.mode("append").parquet(folder)
+    assert compact.compact(spark, folder, state, ALL_SMALL) == 2
+    assert records(compact.read_live(spark, folder, state)) == [(0, None), (1, None), (2, None), (3, "y"), (4, "y")]
+    spark.range(3).select(F.col("id").cast("string")).coalesce(1).write.mode("append").parquet(folder)
+    with pytest.raises(Exception, match="id"):
+        compact.compact(spark, folder, state, ALL_SMALL)
+    assert compact.live_files(spark, folder, state).count() == 2
+
+
+def test_nothing_to_compact(spark, tmp_path):
+    assert compact.compact(spark, f"{tmp_path}/none", f"{tmp_path}/state") == 0
+    assert compact.live_files(spark, f"{tmp_path}/none", f"{tmp_path}/state").count() == 0
