@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framemill.operators.blocks import BLOCK, Blocked, boxed
+from framemill.operators.blocks import BLOCK, KEYS, Blocked, boxed
 from framemill.operators.places import places
 from framemill.session import cut_lineage
 
@@ -19,7 +19,7 @@ def advancing(samples: DataFrame, time: str, block: int = BLOCK) -> DataFrame:
     b = Blocked(samples, size=block)
     b.first_after("__next_block", boxed(F.col(time)))
     rows = b.rows().withColumn("__next", F.coalesce(F.lead(boxed(F.col(time))).over(b.inner), F.col("__next_block")))
-    return rows.filter(F.col("__next.v") > F.col(time)).drop("__next", "__next_block", "__block")
+    return rows.filter(F.col("__next.v") > F.col(time)).drop("__next", "__next_block", *KEYS)
 
 
 def by_position(left: DataFrame, right: DataFrame, key: list[str], left_order: list[str], right_order: list[str]) -> DataFrame:
@@ -59,7 +59,7 @@ def nearest_claimed(samples: DataFrame, references: DataFrame, time_block: int =
     runs = wishes.groupBy("episode_index", "stream", "wish").agg(F.count(F.lit(1)).alias("size")).withColumn("stream_key", F.struct("episode_index", "stream"))
     r = Blocked(runs, episode="stream_key", order="wish", size=block)
     r.last_before("__run_before", F.col("wish"))
-    marked = r.rows().withColumn("__starts", ~(F.col("wish") - 1).eqNullSafe(F.coalesce(F.lag("wish").over(r.inner), F.col("__run_before")))).drop("__block", "__run_before")
+    marked = r.rows().withColumn("__starts", ~(F.col("wish") - 1).eqNullSafe(F.coalesce(F.lag("wish").over(r.inner), F.col("__run_before")))).drop(*KEYS, "__run_before")
     r = Blocked(marked, episode="stream_key", order="wish", size=block)
     r.last_before("__start_before", F.when(F.col("__starts"), F.col("wish")))
     r.last_before("__big_before", F.when(F.col("size") > 1, F.col("wish")))

@@ -1,16 +1,15 @@
 """Per-episode ordered scans: gripper states, relabelled actions, no-op removal, step flags, indices.
 
 All take frames with BIGINT ``episode_index`` and ``frame_index`` (unique together) and keep every row they don't
-explicitly drop. ``block`` is the size of ``operators.blocks``.
+explicitly drop: a null episode is an episode like any other, and a null frame_index comes before all others. ``block`` is the size of ``operators.blocks``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from framemill.operators.blocks import BLOCK, Blocked, boxed
+from framemill.operators.blocks import BLOCK, KEYS, Blocked, boxed
 
 
 def relative_to_absolute(df: DataFrame, action: str, out: str = "gripper_abs", block: int = BLOCK) -> DataFrame:
@@ -25,7 +24,7 @@ def relative_to_absolute(df: DataFrame, action: str, out: str = "gripper_abs", b
     b.last_before("__carried", F.col("__switch"))
     b.first_overall("__first", F.col("__switch"))
     state = F.coalesce(F.last("__switch", ignorenulls=True).over(b.until), F.col("__carried"), -F.col("__first"), F.lit(1))
-    return b.rows().withColumn(out, state / F.lit(2.0) + F.lit(0.5)).drop("__switch", "__carried", "__first", "__block")
+    return b.rows().withColumn(out, state / F.lit(2.0) + F.lit(0.5)).drop("__switch", "__carried", "__first", *KEYS)
 
 
 def binarize(df: DataFrame, action: str, out: str = "gripper_bin", block: int = BLOCK) -> DataFrame:
@@ -37,7 +36,7 @@ def binarize(df: DataFrame, action: str, out: str = "gripper_bin", block: int =
     b.first_after("__next", F.col("__decided"))
     b.last_overall("__last", boxed(p))
     value = F.coalesce(F.first("__decided", ignorenulls=True).over(b.onward), F.col("__next"), F.col("__last.v"))
-    return b.rows().withColumn(out, value).drop("__decided", "__next", "__last", "__block")
+    return b.rows().withColumn(out, value).drop("__decided", "__next", "__last", *KEYS)
 
 
 def relabel_actions(df: DataFrame, state: str, gripper: str, out: str = "action", width: int = 6, block: int = BLOCK) -> DataFrame:
@@ -48,7 +47,7 @@ def relabel_actions(df: DataFrame, state: str, gripper: str, out: str = "action"
     b.first_after("__next_block", boxed(now))
     rows = b.rows().withColumn("__next", F.coalesce(F.lead(boxed(now)).over(b.inner), F.col("__next_block")))
     moved = F.zip_with(F.col("__next.v"), now, lambda x, y: x - y)
-    return rows.filter(F.col("__next").isNotNull()).withColumn(out, F.concat(moved, F.array(F.col(gripper).cast("float")))).drop("__next", "__next_block", "__block")
+    return rows.filter(F.col("__next").isNotNull()).withColumn(out, F.concat(moved, F.array(F.col(gripper).cast("float")))).drop("__next", "__next_block", *KEYS)
 
 
 def drop_noops(df: DataFrame, still: Column, gripper: str, block: int = BLOCK) -> DataFrame:
@@ -63,34 +62,38 @@ def drop_noops(df: DataFrame, still: Column, gripper: str, block: int = BLOCK) -
     moved = F.coalesce(F.sum(F.when(F.col("__still"), 0).otherwise(1)).over(b.before), F.lit(0)) + F.col("__moves")
     rows = b.rows().withColumn("__seen", moved > 0).withColumn("__before", b.lag("__lag", F.col(gripper)))
     noop = F.col("__still") & (~F.col("__seen") | F.col(gripper).eqNullSafe(F.col("__before")))
-    return rows.filter(~noop).drop("__still", "__lag", "__moves", "__seen", "__before", "__block")
+    return rows.filter(~noop).drop("__still", "__lag", "__moves", "__seen", "__before", *KEYS)
 
 
-def drop_first(df: DataFrame) -> DataFrame:
-    """Every episode without its first frame."""
-    first = df.groupBy("episode_index").agg(F.min("frame_index").alias("__first"))
-    return df.join(first, "episode_index").filter("frame_index > __first").drop("__first")
+def _ends(df: DataFrame, block: int) -> DataFrame:
+    """``df`` with ``__first`` and ``__last``, the smallest and largest frame_index of its episode."""
+    b = Blocked(df, size=block)
+    b.total("__first", F.min("frame_index"), F.min("s___first"))
+    b.total("__last", F.max("frame_index"), F.max("s___last"))
+    return b.rows().drop(*KEYS)
+
+
+def drop_first(df: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Every episode without its first frame. Frames without a frame_index are neither first nor last, and stay."""
+    return _ends(df, block).filter("frame_index is null or frame_index > __first").drop("__first", "__last")
 
 
-def drop_last(df: DataFrame) -> DataFrame:
-    """Every episode without its last frame."""
-    last = df.groupBy("episode_index").agg(F.max("frame_index").alias("__last"))
-    return df.join(last, "episode_index").filter("frame_index < __last").drop("__last")
+def drop_last(df: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Every episode without its last frame; see ``drop_first``."""
+    return _ends(df, block).filter("frame_index is null or frame_index < __last").drop("__first", "__last")
 
 
-def step_flags(df: DataFrame) -> DataFrame:
-    """``is_first``, ``is_last`` and ``is_terminal`` (an episode ends with success) of every frame."""
-    ends = df.groupBy("episode_index").agg(F.min("frame_index").alias("__first"), F.max("frame_index").alias("__last"))
-    rows = df.join(ends, "episode_index")
-    last = F.col("frame_index") == F.col("__last")
-    return rows.withColumn("is_first", F.col("frame_index") == F.col("__first")).withColumn("is_last", last).withColumn("is_terminal", last).drop("__first", "__last")
+def step_flags(df: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``is_first``, ``is_last`` and ``is_terminal`` (an episode ends with success) of every frame; false without a frame_index."""
+    is_ = lambda end: F.coalesce(F.col("frame_index") == F.col(end), F.lit(False))
+    return _ends(df, block).withColumn("is_first", is_("__first")).withColumn("is_last", is_("__last")).withColumn("is_terminal", F.col("is_last")).drop("__first", "__last")
 
 
 def positions(df: DataFrame, block: int = BLOCK) -> DataFrame:
     """``position``: the 0-based place of each frame among the frames there are of its episode."""
     b = Blocked(df, size=block)
     b.sum_before("__rows", F.lit(1))
-    return b.rows().withColumn("position", F.row_number().over(b.inner) - 1 + F.col("__rows")).drop("__rows", "__block")
+    return b.rows().withColumn("position", F.row_number().over(b.inner) - 1 + F.col("__rows")).drop("__rows", *KEYS)
 
 
 def timestamps(df: DataFrame, fps: float) -> DataFrame:
@@ -101,18 +104,18 @@ def timestamps(df: DataFrame, fps: float) -> DataFrame:
 def episode_ranges(lengths: DataFrame) -> DataFrame:
     """``dataset_from_index, dataset_to_index`` of every episode: running totals of ``length`` by episode_index.
 
-    The table has one row an episode, by far fewer than frames; totals of blocks of episodes come first, so that no task
-    takes all of them.
+    A null episode comes first. The table has one row an episode, by far fewer than frames; totals of blocks of episodes
+    come first, so that no task takes all of them.
     """
-    by = lengths.withColumn("__e", F.expr("episode_index div 65536"))
-    blocks = by.groupBy("__e").agg(F.sum("length").alias("__n"))
-    blocks = blocks.select("__e", F.coalesce(F.sum("__n").over(Window.orderBy("__e").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__from"))
-    inner = Window.partitionBy("__e").orderBy("episode_index")
-    to = F.col("__from") + F.sum("length").over(inner)
-    return by.join(blocks, "__e").withColumn("dataset_to_index", to).withColumn("dataset_from_index", F.col("dataset_to_index") - F.col("length")).drop("__e", "__from")
+    b = Blocked(lengths.withColumn("__all", F.lit(0).cast("bigint")), episode="__all", order="episode_index")
+    b.sum_before("__from", F.col("length"))
+    to = F.col("__from") + F.sum("length").over(b.until)
+    rows = b.rows().withColumn("dataset_to_index", to).withColumn("dataset_from_index", F.col("dataset_to_index") - F.col("length"))
+    return rows.drop(*KEYS, "__from", "__all")
 
 
 def global_index(df: DataFrame) -> DataFrame:
     """``index``: the running number of each frame over all episodes."""
     ranges = episode_ranges(df.groupBy("episode_index").agg(F.count(F.lit(1)).alias("length"))).select("episode_index", "dataset_from_index")
-    return positions(df).join(ranges, "episode_index").withColumn("index", F.col("dataset_from_index") + F.col("position")).drop("dataset_from_index")
+    ranges = ranges.withColumnRenamed("episode_index", "__of")
+    return positions(df).join(ranges, F.col("episode_index").eqNullSafe(F.col("__of"))).drop("__of").withColumn("index", F.col("dataset_from_index") + F.col("position")).drop("dataset_from_index")

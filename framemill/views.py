@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from framemill.functions.rowhash import row_digest
 from framemill.registry import table
 
-#: SQL: the current row of every (episode_index, frame_index).
-CURRENT_FRAMES = "(SELECT * FROM {t} QUALIFY row_number() OVER (PARTITION BY episode_index, frame_index ORDER BY loaded_at DESC) = 1)"
+#: SQL: the current row of every (episode_index, frame_index). A join, as an engine may turn a numbering of which only the
+#: first is kept into an aggregate that takes -0.0 for 0.0; here and in ``newest`` vectors come out bit by bit.
+CURRENT_FRAMES = """(SELECT DISTINCT c.* FROM {t} c JOIN (SELECT episode_index, frame_index, max(loaded_at) AS loaded_at FROM {t} GROUP BY ALL) m
+    ON c.episode_index IS NOT DISTINCT FROM m.episode_index AND c.frame_index IS NOT DISTINCT FROM m.frame_index AND c.loaded_at IS NOT DISTINCT FROM m.loaded_at)"""
 FRAMES_SQL = CURRENT_FRAMES.format(t="frames")
 DELIVERED_SQL = CURRENT_FRAMES.format(t="frames_delivered")
 

@@ -19,7 +19,7 @@ def connection(folder: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else 0.0 if value == 0 else value
+        return "nan" if math.isnan(value) else value
     if hasattr(value, "asDict"):
         return tuple(plain(v) for v in value)
     if isinstance(value, dict):

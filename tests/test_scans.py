@@ -174,3 +174,20 @@ def test_split_ranges(spark):
     ranges = spark.createDataFrame([(0, 0, 5000), (1, 5000, 5001), (2, 5001, 9000), (3, 9000, 9000)], "episode_index bigint, dataset_from_index bigint, dataset_to_index bigint")
     out = metadata.split_ranges(spark.range(9500).withColumnRenamed("id", "index"), ranges).groupBy("episode_index").count().collect()
     assert {tuple(r) for r in out} == {(0, 5000), (1, 1), (2, 3999)}
+
+
+@pytest.mark.parametrize("block", [2, 1 << 16])
+def test_rows_without_episode_or_frame_stay(spark, block):
+    """A null episode is an episode like any other, beside episode 0; a null frame_index comes first."""
+    rows = [(0, 0, 1.0), (0, 1, 0.0), (0, 5, -1.0), (None, 0, -1.0), (None, 3, 0.0), (None, 4, 1.0), (2, None, 0.0), (2, 7, 1.0), (None, None, 0.0), (-3, -9, 0.0), (-3, -1, 1.0)]
+    df = frame(spark, rows)
+    got = {(r["episode_index"], r["frame_index"]): r["gripper_abs"] for r in scans.relative_to_absolute(df, "a", block=block).collect()}
+    assert got == {(0, 0): 0.0, (0, 1): 0.0, (0, 5): 1.0, (None, None): 0.0, (None, 0): 1.0, (None, 3): 1.0, (None, 4): 0.0, (2, None): 1.0, (2, 7): 0.0, (-3, -9): 1.0, (-3, -1): 0.0}
+    keys = lambda d: sorted(((r["episode_index"], r["frame_index"]) for r in d.collect()), key=repr)
+    every = sorted([r[:2] for r in rows], key=repr)
+    assert keys(scans.binarize(df, "a", block=block)) == keys(scans.step_flags(df, block=block)) == keys(scans.positions(df, block=block)) == every
+    assert keys(scans.drop_first(df, block=block)) == sorted([(0, 1), (0, 5), (None, 3), (None, 4), (2, None), (None, None), (-3, -1)], key=repr)
+    assert keys(scans.drop_last(df, block=block)) == sorted([(0, 0), (0, 1), (None, 0), (None, 3), (2, None), (None, None), (-3, -9)], key=repr)
+    index = {(r["episode_index"], r["frame_index"]): r["index"] for r in scans.global_index(df).collect()}
+    assert index == {k: i for i, k in enumerate([(None, None), (None, 0), (None, 3), (None, 4), (-3, -9), (-3, -1), (0, 0), (0, 1), (0, 5), (2, None), (2, 7)])}
+    assert sorted(scans.positions(df, block=block).columns) == sorted([*df.columns, "position"])
