@@ -9,8 +9,8 @@ import pyarrow as pa
 import pytest
 
 pytest.importorskip("tiktoken")
-from framemill.llm.packing import InvertedIndex, containers, fill  # noqa: E402
-from framemill.llm.tokens import token_ids  # noqa: E402
+from framemill.llm.packing import Clusters, Corpus, InvertedIndex, _corpus, _items, _named, _sharded, _vectors, containers, fill  # noqa: E402
+from framemill.llm.tokens import TOKENIZERS, VOCABULARY, token_ids  # noqa: E402
 
 WORDS = "gripper camera episode frame resize publish bench tray mug arm clock lid take dataset verify".split()
 
@@ -96,3 +96,52 @@ def test_neighbours_are_alike():
     ones = pa.array([[1] * 3] * 4, pa.list_(pa.int32()))
     sizes = np.array([3, 3, 3, 3])
     assert fill(sizes, InvertedIndex(column, ones, sizes), 6) == [[0, 2], [1, 3]]
+
+
+def topics(n, seed=3):
+    """Texts of twelve topics with words of their own among words of all."""
+    rng = random.Random(seed)
+    words = [f"{a}{b}" for a in ("pol", "ka", "ri", "mun", "sto", "bel") for b in ("ta", "vor", "lin", "gus", "mo", "der", "pa", "nix", "ron", "sul")]
+    return [" ".join(rng.choice(words[5 * t : 5 * t + 5] if rng.random() < 0.6 else WORDS) for _ in range(rng.randrange(20, 60))) for t in (rng.randrange(12) for _ in range(n))]
+
+
+def test_clusters_hold_nearly_all_neighbours(spark):
+    """Of the ten best texts by BM25 over the whole corpus, at least nine in ten are in the seed's cluster."""
+    df = spark.createDataFrame(list(enumerate(topics(600))), "doc_id bigint, text string")
+    items = _named(_items(df, "doc_id", "text", 4096, TOKENIZERS, VOCABULARY)).toArrow().combine_chunks()
+    terms, counts, sizes = (items[c].chunk(0) for c in ("terms", "counts", "n_tokens"))
+    corpus = Corpus(len(items), float(np.mean(sizes.to_numpy())), np.bincount(terms.flatten().to_numpy()))
+    vectors = _vectors(terms, counts, sizes, corpus)
+    clusters = Clusters.from_bytes(Clusters.fit(*vectors, 6).to_bytes())
+    label = clusters.nearest(*vectors)
+    index = InvertedIndex(terms, counts, sizes.to_numpy(), corpus)
+    found = []
+    for seed in range(0, 600, 20):
+        score = index.scores(seed)
+        score[seed] = -1
+        found.append(np.mean(label[np.argsort(-score)[:10]] == label[seed]))
+    assert len(set(label)) > 3 and np.mean(found) >= 0.9
+
+
+def test_no_shard_is_larger_than_it_may_be(spark):
+    """A text that a third of all rows repeat, and null ids, are dealt to several shards."""
+    texts = topics(200)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[0])] * 120
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = _named(_items(df, "doc_id", "text", 4096, TOKENIZERS, VOCABULARY)).cache()
+    corpus = _corpus(items)
+    sharded = _sharded(items, spark.sparkContext.broadcast(corpus), 30)
+    sizes = [r["count"] for r in sharded.groupBy("shard").count().collect()]
+    assert sum(sizes) == 320 and max(sizes) <= 30
+    assert items.select("name").distinct().count() == 320
+    check_ids = containers(df, capacity=100, shard_items=30).select("container_id", "position").collect()
+    assert len({tuple(r) for r in check_ids}) == len(check_ids) == 320 + sum(c > 100 for c in items.toPandas()["n_tokens"])
+
+
+def test_texts_that_fill_no_container_together(spark):
+    """Where nothing fits beside anything, containers aren't opened again, whatever their number."""
+    df = spark.createDataFrame([(i, " ".join(WORDS[i % 7 :] * 3)) for i in range(90)], "doc_id bigint, text string")
+    sizes = [len(r["ids"]) for r in token_ids(df).collect()]
+    capacity = 2 * min(sizes) - 1
+    placed = containers(df, capacity=max(capacity, max(sizes)), shard_items=10).collect()
+    assert len(placed) == 90 and len({r["doc_id"] for r in placed}) == 90
