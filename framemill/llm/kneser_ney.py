@@ -28,20 +28,41 @@ _HEX = re.compile(r"\b(?=[a-f]*\d)[\da-f]{6,}\b")
 _LEET = re.compile(r"[a-z0-9@$!|]*[0134578@$!|][a-z][a-z0-9@$!|]*")
 
 
+_LONE = re.compile(r"[ .\-_*][^\W\d_][ .\-_*][^\W\d_](?![^\W\d_])")
+_HANGUL = re.compile("[가-힣]")
+#: Words whose plain form a worker remembers before it starts afresh; longer ones than the second number aren't kept.
+REMEMBERED_WORDS, LONGEST_WORD = 200_000, 40
+_words: tuple[dict[str, str], dict[str, str]] = ({}, {})
+
+
 def plain(text: str) -> str:
-    """Text as the models see it: case, look-alikes, digits for letters, hidden marks, spaced and repeated letters undone."""
+    """Text as the models see it: case, look-alikes, digits for letters, hidden marks, spaced and repeated letters undone.
+
+    Only hidden marks and spaced letters reach over white space; all else is done by word, and words repeat.
+    """
     text = unicodedata.normalize("NFKC", text).casefold()
+    hangul = False
     if not text.isascii():
-        text = _HIDDEN.sub("", unicodedata.normalize("NFD", text)) if _latin(text) else _HIDDEN.sub("", text)
-        text = text.translate(_LOOKALIKES)
-    text = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), text)
-    text = _LEET.sub(lambda m: m[0].translate(_SPELLED), _HEX.sub("#", text))
-    text = _NUMBER.sub("0", text)
-    return " ".join(_TWICE.sub(r"\1", text).replace("_", " ").split())
-
-
-def _latin(text: str) -> bool:
-    return not any("가" <= c <= "힣" for c in text)
+        text = _HIDDEN.sub("", text)
+        hangul = _HANGUL.search(text) is not None
+    if _LONE.search(text):
+        text = _SPACED.sub(lambda m: re.sub(r"[ .\-_*]", "", m[0]), text)
+    known = _words[hangul]
+    return " ".join(filter(None, [known.get(w) or _word(w, hangul) for w in text.split()]))
+
+
+def _word(word: str, hangul: bool) -> str:
+    out = word
+    if not out.isascii():
+        # Hangul would fall apart into its letters.
+        out = _HIDDEN.sub("", out if hangul else unicodedata.normalize("NFD", out)).translate(_LOOKALIKES)
+    out = _LEET.sub(lambda m: m[0].translate(_SPELLED), _HEX.sub("#", out))
+    out = " ".join(_TWICE.sub(r"\1", _NUMBER.sub("0", out)).replace("_", " ").split())
+    if len(word) <= LONGEST_WORD:
+        if len(_words[hangul]) >= REMEMBERED_WORDS:
+            _words[hangul].clear()
+        _words[hangul][word] = out
+    return out
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
