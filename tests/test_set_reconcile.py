@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from framemill.functions import charpoly
@@ -87,14 +88,15 @@ def test_empty_copies(spark):
     assert run(spark, [], [row]) == [(1, "a", "only_right")]
 
 
-def test_many_rows_in_small_chunks_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast_rows", [400_000, 20])  # the second is over, so rows are fetched by a shuffle
+def test_many_rows_in_small_chunks_against_brute_force(spark, monkeypatch, broadcast_rows):
     monkeypatch.setattr(set_reconcile, "CHUNK_ROWS", 100)
     rng = random.Random(3)
     a = [(i, "k", 0, float(rng.randrange(3)), [float(rng.randrange(2))], "t" * rng.randrange(2)) for i in range(1500) if rng.random() < 0.95]
     b = [(i, "k", 0, float(rng.randrange(3)) if rng.random() < 0.1 else x, v, t) for i, _, _, x, v, t in a if rng.random() < 0.95]
     left, right = {r[0]: r for r in a}, {r[0]: r for r in b}
     want = [(i, "k", "only_left") for i in left if i not in right] + [(i, "k", "x") for i in left if i in right and left[i][3] != right[i][3]]
-    assert run(spark, a, b, bucket_rows=16) == sorted(want, key=repr)
+    assert run(spark, a, b, bucket_rows=16, broadcast_rows=broadcast_rows) == sorted(want, key=repr)
 
 
 def test_long_text_and_clashing_names(spark):
@@ -103,3 +105,19 @@ def test_long_text_and_clashing_names(spark):
     b = spark.createDataFrame([(1, "x" * 299_999 + "y", 1.0, "a")], schema)
     out = table_differences(a, b, ["bucket"], ["element", "side", "f0"])
     assert [tuple(r) for r in out.collect()] == [(1, "element")]
+
+
+@pytest.mark.parametrize("cut", [1, 7, 1000])
+def test_sketches_of_parts_multiply_to_those_of_buckets(cut):
+    """Wherever batches cut the buckets, just those that differ come out."""
+    rng = random.Random(5)
+    rows = [[(b, rng.randrange(1 << 60)) for b in range(40) for _ in range(rng.randrange(9))] for _ in range(1)][0]
+    other = [r for r in rows if r[0] % 5 or rng.random() < 0.7] + [(50, 3)]
+    want = {b for b in range(51) if sorted(x for k, x in rows if k == b) != sorted(x for k, x in other if k == b)}
+    parts = []
+    for side, side_rows in enumerate((rows, other)):
+        batches = [pa.record_batch([pa.array([side] * len(p), pa.int8()), pa.array([k for k, _ in p]), pa.array([x for _, x in p])], names=["side", "bucket", "element"]) for p in (side_rows[i : i + cut] for i in range(0, len(side_rows), cut))]
+        parts += list(set_reconcile._sketch_batches(iter(batches), set_reconcile.DEGREE))
+    met = pa.Table.from_batches(parts).sort_by([("bucket", "ascending"), ("side", "ascending")])
+    found = [b for batch in set_reconcile._differing_buckets(iter(met.to_batches(max_chunksize=cut + 2))) for b in batch.column(0).to_pylist()]
+    assert sorted(found) == sorted(want) and len(want) > 4
