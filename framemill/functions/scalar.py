@@ -97,8 +97,11 @@ def template_glob(template: Column, camera: Column) -> Column:
 
 
 def from_codes(codes: Column) -> Column:
-    """Text of an array of code points, up to the first 0."""
-    return F.get(F.split(F.array_join(F.transform(codes, lambda c: F.char(c)), ""), "\u0000"), F.lit(0))
+    """Text of an array of code points, up to the first 0; all of Unicode, and what isn't a code point as U+FFFD."""
+    end = F.array_position(codes, F.lit(0))
+    shown = F.when(end > 0, F.slice(codes, F.lit(1), F.greatest(end - 1, F.lit(0)).cast("int"))).otherwise(codes)
+    valid = F.transform(shown, lambda c: F.when(c.between(1, 0xD7FF) | c.between(0xE000, 0x10FFFF), c).otherwise(F.lit(0xFFFD)))
+    return F.decode(F.unhex(F.array_join(F.transform(valid, lambda c: F.lpad(F.hex(c), 8, "0")), "")), "UTF-32")
 
 
 def wall_clock(text: Column, fmt: str = "yyyy-MM-dd'T'HH-mm-ss") -> Column:

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from framemill.operators.blocks import Blocked, boxed
+
+#: Width of one block of edges (microseconds, about a minute).
+EDGE_BLOCK = 1 << 26
 
 def block_slots(order: DataFrame, blocks: DataFrame, key: list[str]) -> DataFrame:
     """``<key>, pos, block, width, slot_from, slot_to``: the slots of each block, in the order the layout gives.
@@ -89,3 +93,17 @@ def unwritable_settings(settings: Column, writer: dict[str, str]) -> Column:
     """Settings that ask for another value than the one the writer always uses."""
     fixed = F.create_map(*[F.lit(x) for kv in writer.items() for x in kv])
     return F.array_sort(F.map_keys(F.map_filter(settings, lambda k, v: v.isNotNull() & F.map_contains_key(fixed, k) & (v != fixed[k]))))
+
+
+def uneven_cover(pieces: DataFrame, of: str, begin: str, end: str) -> DataFrame:
+    """``<of>, <begin>, <end>, n``: the longest stretches from 0 to the last end that ``n`` pieces cover, n not being 1.
+
+    ``pieces`` has the BIGINTs ``begin`` < ``end`` of each piece. Their edges are walked in blocks, so that a thing of many pieces isn't one task.
+    """
+    edges = pieces.select(of, F.explode(F.array(F.struct(F.col(begin).alias("at"), F.lit(1).alias("d")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("d")), F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(0).alias("d")))).alias("e"))
+    turns = edges.groupBy(of, "e.at").agg(F.sum("e.d").alias("d")).filter("d <> 0 or at = 0").withColumn("__of", F.struct(of))
+    b = Blocked(turns, episode="__of", order="at", size=EDGE_BLOCK)
+    b.sum_before("__n", F.col("d"))
+    b.first_after("__next", boxed(F.col("at")))
+    rows = b.rows().select(of, F.col("at").alias(begin), b.lead("__next", F.col("at")).alias(end), (F.sum("d").over(b.until) + F.col("__n")).alias("n"))
+    return rows.filter((F.col("n") != 1) & F.col(end).isNotNull())

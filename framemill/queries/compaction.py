@@ -55,15 +55,16 @@ def consolidation(listing: DataFrame, segments: DataFrame) -> DataFrame:
     return compaction_journal(cut_lineage(table_files(listing).unionByName(video_files(segments))), SIZES)
 
 
-_WALK = """list_reduce(list_transform(list_prepend('', string_split({p}, '/')), lambda s: CASE WHEN s = '.' THEN '' ELSE s END), lambda d, s:
+#: SQL: the path ``p`` with its steps resolved.
+WALK = """list_reduce(list_transform(list_prepend('', string_split({p}, '/')), lambda s: CASE WHEN s = '.' THEN '' ELSE s END), lambda d, s:
       CASE WHEN s = '' THEN d WHEN s = '..' THEN regexp_replace(d, '/[^/]*$', '') ELSE d || '/' || s END)"""
 
 
-_SMALL = f"""WITH RECURSIVE r AS (SELECT DISTINCT file_id, {_WALK.format(p="file_path")} AS place, content_sha AS sha, filled_mb, n_records FROM parquet_files),
+_SMALL = f"""WITH RECURSIVE r AS (SELECT DISTINCT file_id, {WALK.format(p="file_path")} AS place, content_sha AS sha, filled_mb, n_records FROM parquet_files),
     l AS (SELECT DISTINCT a.file_id AS x, b.file_id AS y FROM r a JOIN r b ON a.place = b.place OR a.sha = b.sha),
     reach(x, y) AS (SELECT x, y FROM l UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x),
     root AS (SELECT x, min(y) AS file_key FROM reach GROUP BY x),
-    s AS (SELECT segment_id, {_WALK.format(p="src")} AS place, start_s, end_s FROM segments),
+    s AS (SELECT segment_id, {WALK.format(p="src")} AS place, start_s, end_s FROM segments),
     v AS (SELECT place, sum(CAST(round((end_s - start_s) * 1e6) AS BIGINT)) AS us FROM (SELECT DISTINCT place, start_s, end_s FROM s WHERE end_s > start_s) GROUP BY place),
     small AS (SELECT 'data' AS kind, file_key, max(CASE WHEN NOT isnan(filled_mb) THEN filled_mb END) AS size FROM r JOIN root ON root.x = r.file_id GROUP BY file_key
       HAVING max(n_records) > 0 AND coalesce(max(CASE WHEN NOT isnan(filled_mb) THEN filled_mb END), 0) < 16

@@ -96,13 +96,13 @@ def compacted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact.read_live(spark, f"{root}/t", f"{root}/state")
 
 
-@query("raw_episodes", f"SELECT CAST(episode_index AS VARCHAR) AS episode_id, count(*) AS n FROM {FRAMES_SQL} WHERE len(state_vec) = 44 AND gripper IS NOT NULL AND NOT isnan(gripper) GROUP BY 1")
+@query("raw_episodes", f"SELECT CAST(episode_index AS VARCHAR) AS episode_id, count(*) AS n FROM {FRAMES_SQL} GROUP BY 1")
 def raw_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw episode documents read through a Python data source."""
     return _raw(spark, sf_dir, "[]")[0].groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("raw_skips", f"SELECT CAST(episode_index AS VARCHAR) AS episode_id, 'width of state is 2, expected 3' AS reason FROM {FRAMES_SQL} WHERE len(state_vec) = 44 AND gripper IS NOT NULL AND NOT isnan(gripper) GROUP BY 1")
+@query("raw_skips", f"SELECT CAST(episode_index AS VARCHAR) AS episode_id, 'width of state is 2, expected 3' AS reason FROM {FRAMES_SQL} GROUP BY 1")
 def raw_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Why raw episodes of another width are left out."""
     return _raw(spark, sf_dir, '{"state": 3}')[1]
@@ -110,7 +110,7 @@ def raw_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw(spark: SparkSession, sf_dir: str, widths: str) -> tuple[DataFrame, DataFrame]:
     root = shared_folder(spark, "raw")
-    rows = frames(spark, sf_dir, "state_vec", "gripper").filter("size(state_vec) = 44 and gripper is not null and not isnan(gripper)")
+    rows = frames(spark, sf_dir, "gripper")
     frame = F.struct(F.col("frame_index").alias("t"), F.array(F.lit(0.5), F.col("gripper")).alias("state"), F.array(F.col("gripper")).alias("action"))
     documents = rows.groupBy("episode_index").agg(F.array_sort(F.collect_list(frame)).alias("frames"))
     text = documents.select("episode_index", F.to_json(F.struct("frames", F.lit("a prompt").alias("prompt"))).alias("text"))
@@ -157,12 +157,12 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round(F.col("total") + 1e-9, 6).alias("total"))
 
 
-@query("stream_gripper", f"""WITH s AS (SELECT episode_index, frame_index, CASE WHEN gripper - 0.5 < -0.1 THEN 1 WHEN gripper - 0.5 > 0.1 THEN -1 END AS s FROM (SELECT DISTINCT episode_index, frame_index, gripper FROM {FRAMES_SQL} WHERE gripper IS NOT NULL AND NOT isnan(gripper)))
+@query("stream_gripper", f"""WITH s AS (SELECT episode_index, frame_index, CASE WHEN gripper - 0.5 < -0.1 THEN 1 WHEN NOT isnan(gripper) AND gripper - 0.5 > 0.1 THEN -1 END AS s FROM {FRAMES_SQL})
     SELECT episode_index, frame_index, coalesce(last_value(s IGNORE NULLS) OVER (PARTITION BY episode_index ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1) / 2.0 + 0.5 AS gripper_abs FROM s""")
 def stream_gripper(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gripper states carried through a stream of frames."""
     root = shared_folder(spark, "ordered")
-    rows = frames(spark, sf_dir, "gripper").filter("gripper is not null and not isnan(gripper)").withColumn("a", F.col("gripper") - 0.5)
+    rows = frames(spark, sf_dir, "gripper").withColumn("a", F.col("gripper") - 0.5)
     rows.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
     return _drained(spark, streaming.carried_gripper(stream, "a"))

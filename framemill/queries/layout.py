@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framemill.functions.paths import resolved
 from framemill.operators import layout
+from framemill.queries.compaction import WALK
 from framemill.registry import query, table
 from framemill.views import FRAMES_SQL, frames
 
@@ -63,14 +65,29 @@ def buildable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.buildable(_blocks(spark), ["dataset"])
 
 
-# Every segment of a video file is a piece [start, end) in hundredths of a second; the file should be covered once.
-_PIECES = "p AS (SELECT DISTINCT src, CAST(round(start_s * 10) AS BIGINT) AS slot_from, CAST(round(end_s * 10) AS BIGINT) AS slot_to FROM segments WHERE end_s > start_s), w AS (SELECT src, max(slot_to) AS width FROM p GROUP BY 1)"
+# Every segment of a video file is a piece [start, end) in microseconds; the file should be covered once.
+_PIECES = f"""p AS (SELECT DISTINCT {WALK.format(p="src")} AS place, CAST(round(start_s * 1e6) AS BIGINT) AS a, CAST(round(end_s * 1e6) AS BIGINT) AS b FROM segments WHERE end_s > start_s AND src IS NOT NULL),
+    e AS (SELECT place, a AS pos, 1 AS d FROM p UNION ALL SELECT place, b, -1 FROM p UNION ALL SELECT DISTINCT place, 0, 0 FROM p),
+    t AS (SELECT place, pos, sum(d) AS d FROM e GROUP BY ALL HAVING sum(d) <> 0 OR pos = 0)"""
 
 
-@query("tiling_check", f"""WITH {_PIECES}, c AS (SELECT src, unnest(range(slot_from, slot_to)) AS slot FROM p), n AS (SELECT src, slot, count(*) AS n FROM c GROUP BY ALL), s AS (SELECT src, unnest(range(0, width)) AS slot FROM w)
-    SELECT src, slot, coalesce(n, 0) AS n FROM s LEFT JOIN n USING (src, slot) WHERE n IS NULL OR n > 1""")
+@query("tiling_check", f"""WITH {_PIECES}, r AS (SELECT place, pos AS from_us, lead(pos) OVER w AS to_us, CAST(sum(d) OVER w AS BIGINT) AS n FROM t WINDOW w AS (PARTITION BY place ORDER BY pos))
+    SELECT * FROM r WHERE to_us IS NOT NULL AND n <> 1""")
 def tiling_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tenths of a second of each video that its pieces don't cover exactly once."""
+    """Stretches of each video, in microseconds, that its pieces don't cover exactly once."""
+    us = lambda c: F.round(F.col(c) * 1e6).cast("bigint")
+    pieces = table(spark, sf_dir, "segments").filter("end_s > start_s and src is not null")
+    pieces = pieces.select(resolved(F.col("src")).alias("place"), us("start_s").alias("from_us"), us("end_s").alias("to_us")).dropDuplicates()
+    return layout.uneven_cover(pieces, "place", "from_us", "to_us")
+
+
+_SLOTS = "p AS (SELECT DISTINCT src, CAST(round(start_s * 10) AS BIGINT) AS slot_from, CAST(round(end_s * 10) AS BIGINT) AS slot_to FROM segments WHERE end_s > start_s), w AS (SELECT src, max(slot_to) AS width FROM p GROUP BY 1)"
+
+
+@query("slot_tiling", f"""WITH {_SLOTS}, c AS (SELECT src, unnest(range(slot_from, slot_to)) AS slot FROM p), n AS (SELECT src, slot, count(*) AS n FROM c GROUP BY ALL), s AS (SELECT src, unnest(range(0, width)) AS slot FROM w)
+    SELECT src, slot, coalesce(n, 0) AS n FROM s LEFT JOIN n USING (src, slot) WHERE n IS NULL OR n > 1""")
+def slot_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots that aren't covered exactly once, as vectors have them; here tenths of a second of videos."""
     tenth = lambda c: F.round(F.col(c) * 10).cast("bigint")
     pieces = table(spark, sf_dir, "segments").filter("end_s > start_s").select("src", tenth("start_s").alias("slot_from"), tenth("end_s").alias("slot_to")).dropDuplicates()
     widths = pieces.groupBy("src").agg(F.max("slot_to").alias("width"))

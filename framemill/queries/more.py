@@ -35,15 +35,15 @@ def conversion_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.select("dataset", F.format_string("%s_chunk_%06d_%d_%d", "dataset", F.expr("s div 10"), "s", end - 1).alias("task"), F.format_string("train[%d:%d]", "s", end).alias("split"))
 
 
-@query("stacked_steps", f"SELECT episode_index, list(gripper ORDER BY frame_index) AS gripper, list(frame_index ORDER BY frame_index) AS frame_index FROM {FRAMES_SQL} WHERE gripper IS NOT NULL AND NOT isnan(gripper) GROUP BY 1")
+@query("stacked_steps", f"SELECT episode_index, list(gripper ORDER BY frame_index) AS gripper, list(frame_index ORDER BY frame_index) AS frame_index FROM {FRAMES_SQL} GROUP BY 1")
 def stacked_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps of each episode as one record of arrays, as nested formats hold them."""
-    rows = frames(spark, sf_dir, "gripper").filter("gripper is not null and not isnan(gripper)")
+    rows = frames(spark, sf_dir, "gripper")
     stacked = rows.groupBy("episode_index").agg(F.array_sort(F.collect_list(F.struct("frame_index", "gripper"))).alias("s"))
     return stacked.select("episode_index", F.col("s.gripper").alias("gripper"), F.col("s.frame_index").alias("frame_index"))
 
 
-@query("unstacked_steps", f"SELECT episode_index, frame_index, gripper FROM {FRAMES_SQL} WHERE gripper IS NOT NULL AND NOT isnan(gripper)")
+@query("unstacked_steps", f"SELECT episode_index, frame_index, gripper FROM {FRAMES_SQL}")
 def unstacked_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of arrays as steps again."""
     zipped = stacked_steps(spark, sf_dir).select("episode_index", F.explode(F.arrays_zip("frame_index", "gripper")).alias("z"))

@@ -29,14 +29,23 @@ def local_session(app: str = "framemill", cores: str = "*", partitions: int = 8)
 
 
 def _checkpoint_folder(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; only where that is unset (tests, single node) a temporary one is made."""
+    """The session's spark.checkpoint.dir; only where that is unset on a single node (tests) a temporary one is made.
+
+    On a cluster without that setting it is an error: executors would each write to a disk of their own.
+    """
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="framemill-checkpoint-"))
+        context.setCheckpointDir(shared or _own_folder(context.master))
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def _own_folder(master: str) -> str:
+    if not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="framemill-checkpoint-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
     _checkpoint_folder(df.sparkSession)

@@ -62,7 +62,7 @@ def _json_episode(data: bytes, options: dict) -> Iterator[tuple]:
     rows = []
     for i, f in enumerate(frames):
         check_widths(f, widths)
-        rows.append((i, float(f["t"]), [float(x) for x in f["state"]], [float(x) for x in f["action"]], document.get("prompt")))
+        rows.append((i, float(f["t"]), *[[None if x is None else float(x) for x in f[v]] for v in ("state", "action")], document.get("prompt")))
     return iter(rows)
 
 

@@ -62,3 +62,12 @@ def test_steps():
 def test_strategies():
     with pytest.raises(ValueError, match="unknown clock"):
         align("other")
+
+
+def test_padded_joints():
+    names = features.STATE_NAMES["JOINT"].split()
+    assert features.padded(names, ["a", "b"]) == names
+    assert features.padded(names, ["a", None, None, "g"]) == [*names[:5], "pad", "pad", "gripper"]
+    assert features.padded(names, ["a", None]) == [*names[:7], "pad"]
+    assert features.state_names("POS_EULER", [], axis_angle=True)[3:6] == ["axis_angle1", "axis_angle2", "axis_angle3"]
+    assert features.state_names("JOINT_BIMANUAL", []) == features.action_names("EEF_R6") == features.MOTORS.split()

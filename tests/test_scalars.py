@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from framemill.functions import scalar
-from framemill.functions.standardise import STANDARDS, Term, standardise
+from framemill.functions import datasets, scalar
+from framemill.functions.scalar import from_codes
+from framemill.functions.standardise import DECODES_LANGUAGE, DEPTH, MOVES_LANGUAGE, STANDARDS, Term, standardise
 from framemill.operators import layout, orchestration
 
 
@@ -93,7 +94,26 @@ def test_slots(spark):
 
 def test_sixty_standards():
     assert len(STANDARDS) == 60
-    assert STANDARDS["libero"].action[1] == Term("a", -1, None, ("inv", "clip"))
+    assert STANDARDS["libero"].action[1] == Term("action", -1, None, ("inv", "clip"))
+    assert STANDARDS["bc_z"].action[0] == Term("action.future/xyz_residual", 0, 3)
+    assert set(MOVES_LANGUAGE) | set(DECODES_LANGUAGE) | {d[0] for d in DEPTH} <= set(STANDARDS)
+
+
+def test_datasets_by_name(spark):
+    assert sum(d.standard is not None for d in datasets.DATASETS.values()) == 73 and {d.standard for d in datasets.DATASETS.values()} - {None} == set(STANDARDS)
+    assert sum(d.parts is not None for d in datasets.DATASETS.values()) == 70
+    assert datasets.dataset("fractal20220817_data").standard == "rt1" and datasets.dataset("libero_10_no_noops").fps == 20
+    assert datasets.dataset("stanford_mask_vit_converted_externally_to_rlds").fps is None
+    with pytest.raises(KeyError, match="libero_goal_no_noops"):
+        datasets.dataset("libero_11")
+    rows = {r["dataset"]: r for r in datasets.dataset_table(spark).collect()}
+    assert rows["berkeley_cable_routing"]["state_names"][-1] == "pad" and rows["libero_10_no_noops"]["state_names"][3] == "axis_angle1"
+    assert rows["roboset"]["action_names"][0] == "motor_0" and rows["ppgm"]["state_names"] is None
+
+
+def test_from_codes(spark):
+    df = spark.createDataFrame([([0x41, 0xE9, 0xAC00, 0x1F600, 0, 0x42],), ([],), (None,), ([0, 65],), ([65, None, 0xD800],)], "c array<int>")
+    assert [r[0] for r in df.select(from_codes(F.col("c"))).collect()] == ["A\u00e9\uac00\U0001f600", "", None, "", "A\ufffd\ufffd"]
 
 
 def test_standardise_with_dotted_columns(spark):
