@@ -24,5 +24,17 @@ def vector_digest(c: Column) -> Column:
     return F.when(F.exists(c, lambda x: x.isNull()), marked).otherwise(plain)
 
 
+def exact_digest(df: DataFrame, names: list[str], seed: int) -> Column:
+    """64-bit digest of the named columns by value, arrays by length and element too; digests of other seeds are independent ones."""
+    parts: list[Column] = []
+    for name, kind in df.select(*[_col(n) for n in names]).dtypes:
+        c = _col(name)
+        if kind.startswith("array<"):
+            parts += [F.coalesce(F.size(c), F.lit(-1)), c, F.when(F.exists(c, lambda x: x.isNull()), F.transform(c, lambda x: x.isNull()))]
+        else:
+            parts += [c.isNull(), c]
+    return F.xxhash64(F.lit(seed), *parts)
+
+
 def _col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framemill.functions.rowhash import exact_digest
 from framemill.operators.places import places
 from framemill.operators.scans import positions
 from framemill.session import cut_lineage
@@ -25,13 +26,13 @@ def fingerprints(frames: DataFrame, columns: list[str], prefix_rows: int = PREFI
     """``episode_index, n_rows, whole, prefix``: digests of an episode's vectors, over all rows and over its first ones.
 
     Each row's digest covers its place in the episode, so the digests of a set of rows can be added up in any order: no
-    episode is brought together in one place.
+    episode is brought together in one place. Frames that have their ``position`` already keep it.
     """
-    rows = positions(frames.select("episode_index", "frame_index", *columns))
+    placed = frames if "position" in frames.columns else positions(frames.select("episode_index", "frame_index", *columns))
     text = F.concat_ws("|", F.col("position").cast("string"), *[number_text(F.col(c)) for c in columns])
     digest = F.sha2(text, 256)
     parts = [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)") for i in (0, 1)]
-    rows = rows.select("episode_index", "position", *[p.alias(f"d{i}") for i, p in enumerate(parts)])
+    rows = placed.select("episode_index", "position", *[p.alias(f"d{i}") for i, p in enumerate(parts)])
     first = F.col("position") < prefix_rows
     joined = lambda cond: F.concat_ws("-", *[F.sum(F.when(cond, F.col(f"d{i}"))).cast("string") for i in (0, 1)])
     return rows.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n_rows"), joined(F.lit(True)).alias("whole"), joined(first).alias("prefix"))
@@ -91,20 +92,23 @@ def both_ends(pairs: DataFrame, key: str, n: int) -> DataFrame:
 def first_divergence(pairs: DataFrame, a: DataFrame, b: DataFrame, columns: list[str], row_tolerance: int = ROW_TOLERANCE) -> DataFrame:
     """``one, other, compared_rows, first_divergence, differing, ok`` of each pair over the rows both have.
 
-    Rows meet by their place in the episode. ``differing`` counts unequal rows; ``ok`` means that none is and that the
-    lengths are within the tolerance.
+    Rows meet by their place in the episode, as 128-bit digests of their columns, so no vector is shuffled for it; null
+    equals null, NaN equals NaN, 0.0 equals -0.0. ``differing`` counts unequal rows; ``ok`` means that none is and that
+    the lengths are within the tolerance. Frames that have their ``position`` already keep it.
     """
     sides = []
     for df, name, tag in ((a, "one", "a"), (b, "other", "b")):
-        wanted = df.join(pairs.select(F.col(name).alias("episode_index")), "episode_index", "left_semi")
-        sides.append(positions(wanted).select(F.col("episode_index").alias(name), "position", F.struct(*columns).alias(tag)))
+        placed = df if "position" in df.columns else positions(df)
+        digest = F.struct(*[exact_digest(placed, columns, seed).alias(f"d{seed}") for seed in (1, 2)])
+        rows = placed.select(F.col("episode_index").alias(name), "position", digest.alias(tag))
+        sides.append(rows.join(pairs.select(name), name, "left_semi"))
     keyed = pairs.select("one", "other").join(sides[0], "one")
     rows = keyed.join(sides[1], ["other", "position"], "full_outer")
     # Rows of the other side beyond the shorter length know their pair by the other's index only.
     back = pairs.select("other", F.col("one").alias("__one"))
     rows = rows.join(back, "other", "left").withColumn("one", F.coalesce("one", "__one"))
     both = F.col("a").isNotNull() & F.col("b").isNotNull()
-    unequal = both & ~F.col("a").eqNullSafe(F.col("b"))
+    unequal = both & (F.col("a") != F.col("b"))
     out = rows.groupBy("one", "other").agg(
         F.count_if(both).alias("compared_rows"), F.min(F.when(unequal, F.col("position"))).alias("first_divergence"), F.count_if(unequal).alias("differing"),
         F.abs(F.count("a") - F.count("b")).alias("__apart"))

@@ -31,7 +31,16 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, quantiles: dict
     a large group covers several partitions; each value's rank is its partition's offset plus its place in it. Nulls are
     left out; a group without values has no row.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
+    return quantiles_of_counts(counted(df, group, value), group, value, quantiles)
+
+
+def counted(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    """``<group>, <value>, __n``: how often each value that isn't null occurs."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def quantiles_of_counts(counts: DataFrame, group: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """``exact_quantiles`` of values that are ``counted`` already."""
     ranged = cut_lineage(counts.repartitionByRange(*group, value).withColumn("__part", F.spark_partition_id()))
     parts = ranged.groupBy(*group, "__part").agg(F.sum("__n").alias("__size"))
     in_group = Window.partitionBy(*group)
@@ -81,6 +90,16 @@ def pooled(stats: DataFrame, group: list[str], quantiles: list[str]) -> DataFram
     return sums.select(*group, "n", "min", "max", "mean", F.sqrt(F.greatest(F.col("__square") - F.col("mean") * F.col("mean"), F.lit(0.0))).alias("std"), *quantiles)
 
 
+def combined_moments(stats: DataFrame, group: list[str]) -> DataFrame:
+    """``<group>, n, min, max, mean, std`` of the union of disjoint parts, from the same moments of each part."""
+    w = F.col("n").cast("double")
+    total = F.sum(w)
+    sums = stats.filter("n > 0").groupBy(*group).agg(
+        F.sum("n").alias("n"), F.min("min").alias("min"), F.max("max").alias("max"), (F.sum(w * F.col("mean")) / total).alias("mean"),
+        (F.sum(w * (F.col("std") * F.col("std") + F.col("mean") * F.col("mean"))) / total).alias("__square"))
+    return sums.select(*group, "n", "min", "max", "mean", F.sqrt(F.greatest(F.col("__square") - F.col("mean") * F.col("mean"), F.lit(0.0))).alias("std"))
+
+
 def envelope(stats: DataFrame, group: list[str], low: str, high: str) -> DataFrame:
     """The widest interval over episodes: the smallest low and the largest high quantile."""
     return stats.groupBy(*group).agg(F.min(low).alias(low), F.max(high).alias(high))

@@ -1,17 +1,34 @@
-"""The comparison of two copies of a dataset in four questions: declarations, episodes, values, distributions."""
+"""The comparison of two copies of a dataset, asked as several questions: what they declare, which episodes they have, whether
+rows, prompts, lengths, statistics and videos of paired episodes are the same, and whether the distributions are."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framemill.operators import pairing, statistics
-from framemill.session import cut_lineage
+from framemill.operators import pairing, scans, statistics
+from framemill.session import cut_lineage, shared_folder
 
-#: Pairs of ``sample_both_ends``, and the share of a span that distributions may differ by.
-SAMPLE_EPISODES, DISTRIBUTION_TOLERANCE = 64, 1e-6
+#: Pairs of ``sample_both_ends``, the share of a span that distributions may differ by, what a statistic may
+#: differ by, and the share by which the mean size of videos may.
+SAMPLE_EPISODES, DISTRIBUTION_TOLERANCE, STAT_TOLERANCE, SIZE_TOLERANCE = 64, 1e-6, 1e-6, 0.15
 MOMENTS = ["min", "max", "mean", "std"]
 _QUANTILES = {"q01": 0.01, "q50": 0.5, "q99": 0.99}
+# What each question's failure is called, in the order the questions are asked.
+REASONS = {
+    "fields_agree": "the two copies declare different datasets",
+    "documents_agree": "meta/modality.json differs",
+    "tasks_agree": "meta/tasks.jsonl differs",
+    "stats_agree": "meta/stats.json differs",
+    "episode_meta_agree": "per-episode metadata differs",
+    "values_agree": "sampled episodes differ",
+    "videos_agree": "the videos do not add up over all episodes",
+    "prompts_agree": "paired episodes carry different task prompts",
+    "distributions_agree": "the shared episodes do not describe the same distribution",
+}
 
 
 def declaration(frames: DataFrame) -> DataFrame:
@@ -29,27 +46,111 @@ def prompt_check(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     return rows.filter(~F.col("a").eqNullSafe(F.col("b")))
 
 
-def shared_gap(pairs: DataFrame, a: DataFrame, b: DataFrame, columns: list[str], width: int) -> DataFrame:
+@dataclass(frozen=True)
+class Copy:
+    """One copy, read once: its frames with their positions as a written table, and a row of facts for each episode."""
+
+    rows: DataFrame
+    episodes: DataFrame
+    stats: DataFrame
+
+
+def prepared(frames: DataFrame, columns: list[str], width: int) -> Copy:
+    """Write the copy's frames to the shared folder and take what all questions need of each episode.
+
+    ``episodes`` has ``episode_index, n_rows, whole, prefix, prompt, prompts, width``, ``stats`` the moments of each dimension
+    of each episode. Later questions read only the columns they need of the written table.
+    """
+    spark = frames.sparkSession
+    folder = shared_folder(spark, "copy")
+    scans.positions(frames.select("episode_index", "frame_index", "prompt", *columns)).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    # Prompts repeat within an episode, so they are counted before they are listed.
+    said = rows.groupBy("episode_index", "prompt").agg(F.min("position").alias("at")).groupBy("episode_index").agg(
+        F.min_by("prompt", F.when(F.col("prompt").isNotNull(), F.col("at"))).alias("prompt"), F.array_sort(F.collect_set("prompt")).alias("prompts"))
+    widths = rows.groupBy("episode_index").agg(F.max(F.size(columns[0])).alias("width"))
+    episodes = pairing.fingerprints(rows, columns).join(said, "episode_index").join(widths, "episode_index")
+    stats = _values(rows, ["episode_index"], columns, width).groupBy("episode_index", "feature", "dim").agg(*statistics.moments())
+    return Copy(rows, cut_lineage(episodes), cut_lineage(stats))
+
+
+def _values(rows: DataFrame, key: list[str], columns: list[str], width: int) -> DataFrame:
+    parts = [statistics.vector_values(rows, key, c, width).withColumn("feature", F.lit(c)) for c in columns]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def declared(copy: Copy) -> DataFrame:
+    """``path, value`` as ``declaration`` gives them, from the facts of each episode."""
+    totals = copy.episodes.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("f"), F.count(F.lit(1)).alias("e"), F.max("width").alias("w"))
+    tasks = copy.episodes.select(F.explode("prompts").alias("p")).agg(F.count_distinct("p").alias("t"))
+    return totals.join(tasks).select(F.explode(F.create_map(
+        F.lit("total_frames"), F.col("f").cast("string"), F.lit("total_episodes"), F.col("e").cast("string"),
+        F.lit("total_tasks"), F.col("t").cast("string"), F.lit("features.state.shape"), F.col("w").cast("string"))).alias("path", "value"))
+
+
+def shared_gap(pairs: DataFrame, a: Copy, b: Copy, columns: list[str], width: int) -> DataFrame:
     """Distribution gaps over the paired episodes."""
     sides = []
-    for df, key in ((a, "one"), (b, "other")):
-        mine = df.join(pairs.select(F.col(key).alias("episode_index")), "episode_index", "left_semi")
-        parts = [statistics.vector_values(mine, [], c, width).select(F.lit(c).alias("feature"), "dim", "value") for c in columns]
-        values = parts[0]
-        for p in parts[1:]:
-            values = values.unionByName(p)
-        sides.append(statistics.described(values, ["feature", "dim"], _QUANTILES))
+    for copy, key in ((a, "one"), (b, "other")):
+        mine = pairs.select(F.col(key).alias("episode_index"))
+        moments = statistics.combined_moments(copy.stats.join(mine, "episode_index", "left_semi"), ["feature", "dim"])
+        values = _values(copy.rows.join(mine, "episode_index", "left_semi"), [], columns, width)
+        quantiles = statistics.quantiles_of_counts(statistics.counted(values, ["feature", "dim"], "value"), ["feature", "dim"], "value", _QUANTILES)
+        sides.append(moments.join(quantiles, ["feature", "dim"]))
     return statistics.distribution_gap(sides[0], sides[1], "feature", [*MOMENTS, *_QUANTILES])
 
 
-def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44) -> DataFrame:
-    """One row: ``exact, prefix, one_only, other_only, moved, declarations_agree, values_agree, prompts_agree, distributions_agree, agree, reasons``.
+def episode_meta(pairs: DataFrame, a: Copy, b: Copy) -> DataFrame:
+    """One row, ``lengths, tasks, statistics``: pairs whose lengths or sets of prompts differ, and (feature, statistic) that differ in some pair."""
+    facts = lambda c, key, tag: c.episodes.select(F.col("episode_index").alias(key), F.struct("n_rows", "prompts").alias(tag))
+    both = pairs.join(facts(a, "one", "a"), "one").join(facts(b, "other", "b"), "other")
+    counts = both.agg(F.count_if(F.col("a.n_rows") != F.col("b.n_rows")).alias("lengths"), F.count_if(F.col("a.prompts") != F.col("b.prompts")).alias("tasks"))
+    tally = pairing.stat_blocks(pairs, a.stats, b.stats, MOMENTS, STAT_TOLERANCE)
+    return counts.join(tally.agg(F.count_if(F.col("bad") > 0).alias("statistics")))
+
+
+def whole_stats(a: Copy, b: Copy) -> DataFrame:
+    """``feature, dim, stat`` of whole-dataset statistics that differ by more than the tolerance or that one copy lacks."""
+    sides = [statistics.combined_moments(c.stats, ["feature", "dim"]).select("feature", "dim", F.explode(F.create_map(*[x for m in MOMENTS for x in (F.lit(m), F.col(m))])).alias("stat", tag)) for c, tag in ((a, "x"), (b, "y"))]
+    both = sides[0].join(sides[1], ["feature", "dim", "stat"], "full_outer")
+    return both.filter(F.coalesce(F.abs(F.col("x") - F.col("y")) > STAT_TOLERANCE, F.lit(True))).select("feature", "dim", "stat")
+
 
-    Values are compared over all pairs, not a sample. Where nothing pairs, episodes meet by their place in index order, and
-    one of ``a`` without a counterpart disagrees. Else episode counts are reported, never judged. ``a`` and ``b`` are the current frames of the two copies.
+def coverage(a: DataFrame, b: DataFrame, a_episodes: DataFrame, b_episodes: DataFrame) -> DataFrame:
+    """``camera, problem`` of ``b``'s cameras: ``missing``, ``count`` (files an episode) or ``size`` (mean bytes a file).
+
+    ``a`` and ``b`` have ``camera, file, episode_index, n_bytes``, a row a file; repeats count once, a file of unknown size as 0 bytes.
+    Files of episodes that a copy doesn't have aren't its.
     """
-    prints = [pairing.fingerprints(d, columns) for d in (a, b)]
-    pairs = cut_lineage(pairing.pair_episodes(*prints))
+    sides = []
+    for files, episodes, n in ((a, a_episodes, "a"), (b, b_episodes, "b")):
+        mine = files.dropDuplicates().join(episodes.select("episode_index"), "episode_index", "left_semi")
+        totals = mine.groupBy("camera").agg(F.count(F.lit(1)).alias("files"), F.sum("n_bytes").alias("bytes"))
+        of = episodes.agg(F.count(F.lit(1)).alias("e"))
+        sides.append(totals.join(of).select("camera", (F.col("files") / F.col("e")).alias(f"{n}_files"), (F.coalesce("bytes", F.lit(0)) / F.col("files")).alias(f"{n}_bytes")))
+    both = sides[1].join(sides[0], "camera", "left")
+    problems = [
+        F.when(F.col("a_files").isNull(), "missing"), F.when(F.abs(F.col("a_files") - F.col("b_files")) > 1e-9, "count"),
+        F.when((F.col("b_bytes") > 0) & (F.abs(F.col("a_bytes") / F.nullif(F.col("b_bytes"), F.lit(0.0)) - 1) > SIZE_TOLERANCE), "size"),
+    ]
+    return both.select("camera", F.explode(F.array_compact(F.array(*problems))).alias("problem"))
+
+
+def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44, *, videos: tuple[DataFrame, DataFrame] | None = None, documents: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """One row: ``exact, prefix, one_only, other_only, moved``, a flag for each question, ``declarations_agree, agree, reasons``.
+
+    ``a`` and ``b`` are the current frames of the two copies. Values are compared over all pairs, not a sample. Where
+    nothing pairs, episodes meet by their place in index order, and one of ``a`` without a counterpart disagrees. Else
+    episode counts are reported, never judged.
+
+    ``fields_agree``        totals and widths; ``documents_agree`` the flattened documents (``path, value``), if given.
+    ``tasks_agree``         the set of prompts; ``stats_agree`` the statistics over all episodes of either copy.
+    ``episode_meta_agree``  lengths, prompts and statistics of every pair; ``values_agree`` every row of every pair, with
+                            lengths up to two rows apart; ``prompts_agree`` the first prompt of every pair.
+    ``videos_agree``        files an episode and mean sizes by camera (``camera, file, episode_index, n_bytes``), if given.
+    """
+    a, b = (prepared(d, columns, width) for d in (a, b))
+    pairs = cut_lineage(pairing.pair_episodes(a.episodes, b.episodes))
     paired = pairs.filter(F.col("basis").isin("exact", "prefix")).select("one", "other")
     complete = True
     if paired.isEmpty():
@@ -58,18 +159,37 @@ def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44) ->
         paired, complete = placed.filter("other is not null"), placed.filter("other is null").isEmpty()
     # Where neither side has an episode there is nothing to disagree; else a comparison of nothing isn't agreement.
     agreed = not paired.isEmpty() or pairs.isEmpty()
-    counts = pairing.pairing_summary(pairs)
-    declared = pairing.path_difference(declaration(a), declaration(b), ["total_frames", "total_episodes"]).agg((F.count_if(F.col("bucket").isin("one_sided", "differences")) == 0).alias("declarations_agree"))
-    values = pairing.first_divergence(paired, a, b, columns).agg((F.coalesce(F.bool_and("ok"), F.lit(agreed)) & F.lit(complete)).alias("values_agree"))
-    prompts = prompt_check(paired, a, b).agg(((F.count(F.lit(1)) == 0) & F.lit(agreed)).alias("prompts_agree"))
-    gaps = shared_gap(paired, a, b, columns, width).agg(F.coalesce(F.bool_and(F.col("gap") <= DISTRIBUTION_TOLERANCE), F.lit(agreed)).alias("distributions_agree"))
+    none = lambda d: d.agg(F.count(F.lit(1)) == 0)
+    flag = lambda d, name: d.toDF(name)
+    counted = ["total_frames", "total_episodes"]
+    differs = lambda x, y: pairing.path_difference(x, y, counted).filter(F.col("bucket").isin("one_sided", "differences"))
+    tasks = [c.episodes.select(F.explode("prompts").alias("prompt")).dropDuplicates() for c in (a, b)]
+    meta = episode_meta(paired, a, b)
+    parts = [
+        flag(none(differs(declared(a), declared(b))), "fields_agree"),
+        flag(none(tasks[0].subtract(tasks[1]).unionByName(tasks[1].subtract(tasks[0]))), "tasks_agree"),
+        flag(none(whole_stats(a, b)), "stats_agree"),
+        flag(meta.select((F.col("lengths") + F.col("tasks") + F.col("statistics") == 0) & F.lit(agreed)), "episode_meta_agree"),
+        flag(pairing.first_divergence(paired, a.rows, b.rows, columns).agg(F.coalesce(F.bool_and("ok"), F.lit(agreed)) & F.lit(complete)), "values_agree"),
+        flag(_prompts(paired, a, b).agg((F.count(F.lit(1)) == 0) & F.lit(agreed)), "prompts_agree"),
+        flag(shared_gap(paired, a, b, columns, width).agg(F.coalesce(F.bool_and(F.col("gap") <= DISTRIBUTION_TOLERANCE), F.lit(agreed))), "distributions_agree"),
+    ]
+    if videos is not None:
+        parts.append(flag(none(coverage(*videos, a.episodes, b.episodes)), "videos_agree"))
+    if documents is not None:
+        parts.append(flag(none(differs(*documents)), "documents_agree"))
     # Each part is one row of flags; they're put side by side on a constant.
-    row = counts.select("exact", "prefix", "one_only", "other_only", "moved").withColumn("__k", F.lit(1))
-    for part in (declared, values, prompts, gaps):
-        row = row.join(part.withColumn("__k", F.lit(1)), "__k")
-    flags = {"declarations_agree": "the two copies declare different datasets", "values_agree": "sampled episodes differ", "prompts_agree": "paired episodes carry different task prompts", "distributions_agree": "the shared episodes do not describe the same distribution"}
-    agree = F.lit(True)
-    for f in flags:
-        agree = agree & F.col(f)
-    reasons = F.array_compact(F.array(*[F.when(~F.col(f), F.lit(text)) for f, text in flags.items()]))
-    return row.drop("__k").withColumn("agree", agree).withColumn("reasons", reasons)
+    row = pairing.pairing_summary(pairs).select("exact", "prefix", "one_only", "other_only", "moved").withColumn("__k", F.lit(1))
+    for part in parts:
+        row = row.join(F.broadcast(part.withColumn("__k", F.lit(1))), "__k")
+    asked = [f for f in REASONS if f in row.columns]
+    every = lambda names: reduce(lambda x, y: x & y, [F.col(f) for f in names])
+    reasons = F.array_compact(F.array(*[F.when(~F.col(f), F.lit(REASONS[f])) for f in asked]))
+    declarations = every([f for f in ("fields_agree", "documents_agree", "tasks_agree", "stats_agree") if f in asked])
+    return row.select("exact", "prefix", "one_only", "other_only", "moved", *asked, declarations.alias("declarations_agree"), every(asked).alias("agree"), reasons.alias("reasons"))
+
+
+def _prompts(pairs: DataFrame, a: Copy, b: Copy) -> DataFrame:
+    """Pairs whose episodes' first prompts differ."""
+    first = lambda c, key, tag: c.episodes.select(F.col("episode_index").alias(key), F.col("prompt").alias(tag))
+    return pairs.join(first(a, "one", "a"), "one").join(first(b, "other", "b"), "other").filter(~F.col("a").eqNullSafe(F.col("b")))

@@ -42,7 +42,7 @@ def _prints(t: str) -> str:
       FROM (SELECT *, row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) AS n FROM {t})) GROUP BY 1)"""
 
 
-_COMMON = f"""WITH a AS MATERIALIZED (SELECT * FROM {_REBUILT}), b AS MATERIALIZED (SELECT * FROM {FRAMES_SQL}), fa AS MATERIALIZED {_prints("a")}, fb AS MATERIALIZED {_prints("b")},
+_PAIRING = f"""WITH a AS MATERIALIZED (SELECT * FROM {{a}}), b AS MATERIALIZED (SELECT * FROM {{b}}), fa AS MATERIALIZED {_prints("a")}, fb AS MATERIALIZED {_prints("b")},
     ka AS (SELECT *, count(*) OVER (PARTITION BY whole) AS m, row_number() OVER (PARTITION BY whole ORDER BY episode_index) AS r FROM fa),
     kb AS (SELECT *, count(*) OVER (PARTITION BY whole) AS m, row_number() OVER (PARTITION BY whole ORDER BY episode_index) AS r FROM fb),
     ex AS (SELECT ka.episode_index AS one, kb.episode_index AS other FROM ka JOIN kb ON ka.whole = kb.whole AND ka.m = kb.m AND ka.r = kb.r),
@@ -52,6 +52,7 @@ _COMMON = f"""WITH a AS MATERIALIZED (SELECT * FROM {_REBUILT}), b AS MATERIALIZ
     pp AS (SELECT one, other, 'exact' AS basis FROM ex UNION ALL SELECT one, other, 'prefix' FROM pr),
     pairing AS MATERIALIZED (SELECT fa.episode_index AS one, fb.episode_index AS other, CASE WHEN fa.episode_index IS NULL THEN 'other_only' WHEN pp.basis IS NULL THEN 'one_only' ELSE pp.basis END AS basis, fa.n_rows - fb.n_rows AS row_delta
       FROM fa LEFT JOIN pp ON pp.one = fa.episode_index FULL JOIN fb ON fb.episode_index = pp.other)"""
+_COMMON = _PAIRING.replace("{a}", _REBUILT).replace("{b}", FRAMES_SQL)
 
 
 def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -223,15 +224,48 @@ _LONG = " UNION ALL ".join(f"SELECT '{c}' AS feature, i AS dim, {c}[i]::DOUBLE A
 _DIST = "SELECT feature, dim, min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_pop(value) AS std, quantile_cont(value, 0.01) AS q01, quantile_cont(value, 0.5) AS q50, quantile_cont(value, 0.99) AS q99 FROM ({}) GROUP BY ALL"
 
 
-@query("funnel_verdict", f"""{_COMMON}, {_SAMPLE}, {_DIVERGE}, dx AS ({_DIST.format(_LONG.format(t="a", k="one"))}), dy AS ({_DIST.format(_LONG.format(t="b", k="other"))}),
+_TALLY = f"""sa AS ({_BLOCKS.format(t="a")}), sb AS ({_BLOCKS.format(t="b")}),
+    mt AS (SELECT p.one, x.feature, unnest([abs(x.min - y.min), abs(x.max - y.max), abs(x.mean - y.mean), abs(x.std - y.std)]) AS gap
+      FROM pairing p JOIN sa x ON x.episode_index = p.one JOIN sb y ON y.episode_index = p.other AND y.feature = x.feature AND y.dim = x.dim WHERE basis IN ('exact', 'prefix'))"""
+_WHOLE = " UNION ALL ".join(f"SELECT '{c}' AS feature, i AS dim, {c}[i]::DOUBLE AS value FROM {{t}}, generate_series(1, 44) AS g(i) WHERE len({c}) = 44 AND NOT isnan({c}[i])" for c in COLUMNS)
+_MOMENTS = "SELECT feature, dim, min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_pop(value) AS std FROM ({}) GROUP BY ALL"
+_SETS = "SELECT episode_index, list_sort(list(DISTINCT prompt) FILTER (prompt IS NOT NULL)) AS prompts FROM {t} GROUP BY 1"
+_FILES = "SELECT camera, count(*)::DOUBLE / (SELECT count(DISTINCT episode_index) FROM {t}) AS files, coalesce(sum(n_bytes), 0) / count(*) AS bytes FROM (SELECT DISTINCT camera, shot_id, episode_index, n_bytes FROM video_shots WHERE episode_index IN (SELECT {k} FROM {t})) GROUP BY 1"
+_FLAGS = {
+    "fields_agree": "(SELECT count(DISTINCT prompt) FROM a) = (SELECT count(DISTINCT prompt) FROM b) AND (SELECT max(len(state_vec)) FROM a) = (SELECT max(len(state_vec)) FROM b)",
+    "tasks_agree": "(SELECT count(*) = 0 FROM ((SELECT prompt FROM a WHERE prompt IS NOT NULL EXCEPT SELECT prompt FROM b WHERE prompt IS NOT NULL) UNION ALL (SELECT prompt FROM b WHERE prompt IS NOT NULL EXCEPT SELECT prompt FROM a WHERE prompt IS NOT NULL)))",
+    "stats_agree": f"(SELECT coalesce(bool_and(coalesce(greatest(abs(x.min - y.min), abs(x.max - y.max), abs(x.mean - y.mean), abs(x.std - y.std)) <= 1e-6, FALSE)), TRUE) FROM ({_MOMENTS.format(_WHOLE.format(t='a'))}) x FULL JOIN ({_MOMENTS.format(_WHOLE.format(t='b'))}) y ON x.feature = y.feature AND x.dim = y.dim)",
+    "episode_meta_agree": f"(SELECT count(*) = 0 FROM pairing WHERE basis IN ('exact', 'prefix') AND row_delta <> 0) AND (SELECT count(*) = 0 FROM mt WHERE gap > 1e-6) AND (SELECT count(*) = 0 FROM pairing p JOIN ({_SETS.format(t='a')}) x ON x.episode_index = p.one JOIN ({_SETS.format(t='b')}) y ON y.episode_index = p.other WHERE basis IN ('exact', 'prefix') AND coalesce(x.prompts, []) <> coalesce(y.prompts, []))",
+    "values_agree": "(SELECT count(*) = 0 FROM j WHERE unequal) AND (SELECT count(*) = 0 FROM pairing WHERE basis IN ('exact', 'prefix') AND abs(row_delta) > 2)",
+    "videos_agree": f"(SELECT count(*) = 0 FROM ({_FILES.format(t='b', k='{kb}')}) y LEFT JOIN ({_FILES.format(t='a', k='{ka}')}) x ON x.camera = y.camera WHERE x.camera IS NULL OR abs(x.files - y.files) > 1e-9 OR (y.bytes > 0 AND abs(x.bytes / y.bytes - 1) > 0.15))",
+    "prompts_agree": f"(SELECT count(*) = 0 FROM pairing p LEFT JOIN ({_FIRST_PROMPT.format(t='a')}) x ON x.episode_index = p.one LEFT JOIN ({_FIRST_PROMPT.format(t='b')}) y ON y.episode_index = p.other WHERE basis IN ('exact', 'prefix') AND x.prompt IS DISTINCT FROM y.prompt)",
+    "distributions_agree": f"(SELECT coalesce(bool_and(greatest({', '.join(f'abs(dx.{c} - dy.{c})' for c in ('min', 'max', 'mean', 'std', 'q01', 'q50', 'q99'))}) / CASE WHEN dy.max > dy.min THEN dy.max - dy.min ELSE 1 END <= 1e-6), TRUE) FROM dx JOIN dy USING (feature, dim))",
+}
+
+
+def _verdict_sql(a: str, b: str, ka: str = "episode_index", kb: str = "episode_index") -> str:
+    flags = ", ".join(f"{v.replace('{ka}', ka).replace('{kb}', kb)} AS {k}" for k, v in _FLAGS.items())
+    texts = ", ".join(f"CASE WHEN NOT {k} THEN '{funnel.REASONS[k]}' END" for k in funnel.REASONS if k in _FLAGS)
+    return f"""{_PAIRING.replace("{a}", a).replace("{b}", b)}, {_DIVERGE}, {_TALLY}, dx AS ({_DIST.format(_LONG.format(t="a", k="one"))}), dy AS ({_DIST.format(_LONG.format(t="b", k="other"))}),
     s AS (SELECT count(CASE WHEN basis = 'exact' THEN 1 END) AS exact, count(CASE WHEN basis = 'prefix' THEN 1 END) AS prefix, count(CASE WHEN basis = 'one_only' THEN 1 END) AS one_only, count(CASE WHEN basis = 'other_only' THEN 1 END) AS other_only, count(CASE WHEN basis IN ('exact', 'prefix') AND one <> other THEN 1 END) AS moved FROM pairing),
-    f AS (SELECT (SELECT count(DISTINCT prompt) FROM a) = (SELECT count(DISTINCT prompt) FROM b) AND (SELECT max(len(state_vec)) FROM a) = (SELECT max(len(state_vec)) FROM b) AS declarations_agree,
-      (SELECT count(*) = 0 FROM j WHERE unequal AND one IN (SELECT one FROM sm)) AND (SELECT count(*) = 0 FROM pairing WHERE one IN (SELECT one FROM sm) AND abs(row_delta) > 2) AS values_agree,
-      (SELECT count(*) = 0 FROM pairing p LEFT JOIN ({_FIRST_PROMPT.format(t="a")}) x ON x.episode_index = p.one LEFT JOIN ({_FIRST_PROMPT.format(t="b")}) y ON y.episode_index = p.other WHERE basis IN ('exact', 'prefix') AND x.prompt IS DISTINCT FROM y.prompt) AS prompts_agree,
-      (SELECT coalesce(bool_and(greatest({", ".join(f"abs(dx.{c} - dy.{c})" for c in ("min", "max", "mean", "std", "q01", "q50", "q99"))}) / CASE WHEN dy.max > dy.min THEN dy.max - dy.min ELSE 1 END <= 1e-6), TRUE) FROM dx JOIN dy USING (feature, dim)) AS distributions_agree)
-    SELECT s.*, f.*, declarations_agree AND values_agree AND prompts_agree AND distributions_agree AS agree, list_filter([CASE WHEN NOT declarations_agree THEN 'the two copies declare different datasets' END, CASE WHEN NOT values_agree THEN 'sampled episodes differ' END,
-      CASE WHEN NOT prompts_agree THEN 'paired episodes carry different task prompts' END, CASE WHEN NOT distributions_agree THEN 'the shared episodes do not describe the same distribution' END], lambda x: x IS NOT NULL) AS reasons FROM s, f""")
+    f AS (SELECT {flags})
+    SELECT s.*, f.*, fields_agree AND tasks_agree AND stats_agree AS declarations_agree, {" AND ".join(_FLAGS)} AS agree, list_filter([{texts}], lambda x: x IS NOT NULL) AS reasons FROM s, f"""
+
+
+def _shots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "video_shots").select("camera", F.col("shot_id").alias("file"), "episode_index", "n_bytes")
+
+
+@query("funnel_verdict", _verdict_sql(FRAMES_SQL, DELIVERED_SQL))
 def funnel_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether the changed copy agrees with the frames, and why not."""
+    """Whether the frames agree with the copy that was delivered, and why not. Videos of either copy are those of its episodes."""
+    a, b = (frames(spark, sf_dir, "state_vec", "action_vec", "prompt", name=t) for t in ("frames", "frames_delivered"))
+    return funnel.verdict(a, b, COLUMNS, WIDTH, videos=(_shots(spark, sf_dir),) * 2)
+
+
+@query("funnel_verdict_moved", _verdict_sql(_REBUILT, FRAMES_SQL, ka="1000000 - episode_index"))
+def funnel_verdict_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a copy whose episodes have other indices, some of which are missing, cut short or changed."""
     a, b = _copies(spark, sf_dir)
-    return funnel.verdict(a, b, COLUMNS, WIDTH)
+    shots = _shots(spark, sf_dir)
+    return funnel.verdict(a, b, COLUMNS, WIDTH, videos=(shots.withColumn("episode_index", 1_000_000 - F.col("episode_index")), shots))
