@@ -14,14 +14,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from framemill.functions.xfast import XFastTries
+from framemill.operators.blocks import Blocked
 from framemill.session import cut_lineage, small_side
 
 #: A block of 2**20 microseconds (about a second) holds at most that many distinct times.
 BLOCK_BITS = 20
 #: Queries of one (entity, block) beyond this many are dealt to several tasks.
 HOT_BLOCK_QUERIES = 500_000
+#: Widest tolerance.
+MAX_TOLERANCE_US = 1 << 50
 #: Rows that one vectorised step takes at least, if there are so many.
 CHUNK_ROWS = 200_000
 
@@ -46,10 +50,13 @@ def nearest_within(
     Rows with a null entity or time pair with nothing; nor do points with a null id. Exact repeats of a query count
     once; one query id with several times gives one row for each time that finds a point, equal rows once. A distance
     of exactly ``tolerance_us`` is within. Empty tables give no rows; other columns of the inputs are not looked at.
+
+    A task holds the points of a block (``2**block_bits`` microseconds of an entity) at most, whatever the tolerance. Where
+    that is narrow against a block, points near an edge go to both blocks; else each block with queries gets the last
+    point before it and the first one after it. Tolerances up to ``MAX_TOLERANCE_US`` (some 35 years) are taken.
     """
-    block_bits = max(block_bits, int(2 * tolerance_us).bit_length())
-    if block_bits > 40:
-        raise ValueError("the tolerance is too wide for time blocks")
+    if tolerance_us > MAX_TOLERANCE_US:
+        raise ValueError(f"the tolerance is above {MAX_TOLERANCE_US} microseconds")
     width = 1 << block_bits
     at = lambda c: F.unix_micros(F.col(f"`{c}`").cast("timestamp"))
     block = lambda c: F.shiftright(c, block_bits)
@@ -63,16 +70,21 @@ def nearest_within(
         .agg(best.alias("best"))
         .select("e", "t", F.col("best.r").cast("bigint").alias("r"), F.col("best.p").alias("p"))
     )
-    # A leaf also serves the queries that lie beyond its block's edge, but within the tolerance.
-    leaves = leaves.withColumn("b", F.explode(F.array_distinct(F.array(block(F.col("t") - tolerance_us), block(F.col("t")), block(F.col("t") + tolerance_us)))))
     asked = (
         queries.select(F.col(f"`{entity[1]}`").alias("e"), at(time[1]).alias("t"), F.col(f"`{query_id}`").alias("q"))
         .filter(F.col("e").isNotNull() & F.col("t").isNotNull())
         .dropDuplicates()
         .withColumn("b", block(F.col("t")))
     )
+    if 2 * tolerance_us <= width:
+        # A leaf also serves the queries that lie beyond its block's edge, but within the tolerance.
+        leaves = leaves.withColumn("b", F.explode(F.array_distinct(F.array(block(F.col("t") - tolerance_us), block(F.col("t")), block(F.col("t") + tolerance_us)))))
+    else:
+        leaves = _with_borders(leaves.withColumn("b", block(F.col("t"))), asked.select("e", "b"), width, tolerance_us)
 
-    hot = cut_lineage(asked.groupBy("e", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_block).select("e", "b", F.ceil(F.col("n") / hot_block).cast("int").alias("salts")))
+    # Counted before repeats are dropped, so that this needs no shuffle of the queries; blocks only seem hotter by it.
+    every = queries.select(F.col(f"`{entity[1]}`").alias("e"), block(at(time[1])).alias("b")).filter("e is not null and b is not null")
+    hot = cut_lineage(every.groupBy("e", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_block).select("e", "b", F.ceil(F.col("n") / hot_block).cast("int").alias("salts")))
     n_hot = hot.count()
     if n_hot:
         side = small_side(hot, n_hot)
@@ -90,6 +102,24 @@ def nearest_within(
     return ordered.mapInArrow(partial(_match, bits=bits, tolerance=tolerance_us, names=(point_id, query_id)), schema).dropDuplicates()
 
 
+def _with_borders(leaves: DataFrame, asked: DataFrame, width: int, tolerance_us: int) -> DataFrame:
+    """``leaves`` (``e, t, r, p, b``), and for each block of ``asked`` (``e, b``) the nearest leaves before and after it that are within the tolerance of its edges."""
+    leaf = F.struct("t", "r", "p")
+    ends = leaves.groupBy("e", "b").agg(F.min_by(leaf, "t").alias("first"), F.max_by(leaf, "t").alias("last"))
+    kind = ends.schema["first"].dataType
+    spots = ends.withColumn("wanted", F.lit(False)).unionByName(asked.select("e", "b", *[F.lit(None).cast(kind).alias(c) for c in ("first", "last")], F.lit(True).alias("wanted")))
+    spots = spots.groupBy("e", "b").agg(F.max("first").alias("first"), F.max("last").alias("last"), F.bool_or("wanted").alias("wanted"))
+    walk = Blocked(spots.withColumn("entity", F.struct("e")), episode="entity", order="b")
+    walk.last_before("earlier", F.col("last"))
+    walk.first_after("later", F.col("first"))
+    before = F.coalesce(F.last("last", ignorenulls=True).over(walk.before), F.col("earlier"))
+    after = F.coalesce(F.first("first", ignorenulls=True).over(walk.inner.rowsBetween(1, Window.unboundedFollowing)), F.col("later"))
+    rows = walk.rows().select("e", "b", "wanted", F.array(before, after).alias("borders")).filter("wanted")
+    borders = rows.select("e", F.explode(F.array_compact("borders")).alias("l"), "b").select("e", "l.t", "l.r", "l.p", "b")
+    start = F.col("b") * width
+    return leaves.unionByName(borders.filter(F.col("t").between(start - tolerance_us, start + (width - 1) + tolerance_us)))
+
+
 def _match(batches: Iterator[pa.RecordBatch], bits: int, tolerance: int, names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by (entity, block, salt, kind, x), points first. Whole groups are taken a chunk at a time;
     of a group that goes on in the next chunk only its points are kept."""

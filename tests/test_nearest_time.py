@@ -106,3 +106,20 @@ def test_clashing_names(spark):
     q = spark.createDataFrame([("1", at(5), 1)], "kind string, t timestamp_ntz, b bigint")
     out = nearest_within(p, q, entity=("b", "b"), time=("x", "t"), rank="kind", point_id="s", query_id="kind", tolerance_us=10)
     assert [tuple(r) for r in out.collect()] == [(7, "1", 5)]
+
+
+@pytest.mark.parametrize("tolerance", [3_000, 40_000, 10**12])
+def test_tolerances_wider_than_blocks(spark, monkeypatch, tolerance):
+    """Blocks of about a millisecond, points hours apart, and blocks that hold queries only."""
+    monkeypatch.setattr(nearest_time, "CHUNK_ROWS", 50)
+    rng = random.Random(tolerance)
+    moments = [rng.choice([rng.randrange(30_000), rng.randrange(10**10), -rng.randrange(10**7)]) for _ in range(150)]
+    points = [(rng.randrange(3), m, rng.randrange(5), i) for i, m in enumerate(moments)] + [(None, 5, 1, 900), (1, None, 1, 901), (1, 7, None, 902)]
+    queries = [(rng.choice([0, 1, 2, 7, None]), rng.choice(moments) + rng.choice([0, rng.randrange(-5000, 5000), rng.randrange(-(10**9), 10**9)]), i) for i in range(300)]
+    assert run(spark, points, queries, tolerance=tolerance, block_bits=10) == brute(points, queries, tolerance)
+    assert run(spark, points, queries, tolerance=tolerance, block_bits=10, hot_block=2) == brute(points, queries, tolerance)
+
+
+def test_tolerance_beyond_all(spark):
+    with pytest.raises(ValueError, match="tolerance"):
+        run(spark, [], [], tolerance=1 << 51)
