@@ -60,3 +60,9 @@ def usable_class(present: Column, required: list[str], optional: list[str]) -> C
     known = F.array(*[F.lit(r) for r in (*required, *optional)])
     lacking, strange = F.array_except(need, present), F.array_except(present, known)
     return F.when(F.size(F.array_intersect(need, present)) == 0, "empty").when((F.size(lacking) > 0) & (F.size(strange) > 0), "wrong_config").when(F.size(lacking) > 0, "partial")
+
+
+def worker_share(workers: Column, batch: Column) -> Column:
+    """Workers of each of a batch's datasets: an even share, rounded up, at least one; all of them for a batch of one or none, null without workers."""
+    share = F.greatest(F.ceil(workers / batch), F.lit(1))
+    return F.when(workers > 0, F.when(batch <= 1, workers.cast("bigint")).otherwise(share))

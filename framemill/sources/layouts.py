@@ -67,6 +67,20 @@ def info_of(frames: DataFrame, layout: str, fps: float, cameras: int = 0) -> dic
     }
 
 
+def edited_info(info: dict, layout: str, cap_bytes: int = PACKED_BYTES) -> dict:
+    """A description as it is after a conversion to ``layout``.
+
+    The packed layout says how large its files may be and counts neither chunks nor videos, which follow from its episode
+    table; the other one counts them again, a video being a feature of dtype ``video`` an episode. All else stays.
+    """
+    out = {k: v for k, v in info.items() if k not in ("total_chunks", "total_videos", "data_files_size_in_bytes")} | {"layout": layout}
+    if layout == "packed":
+        return out | {"data_path": PACKED_FILE, "data_files_size_in_bytes": cap_bytes}
+    episodes = out.get("total_episodes", 0)
+    cameras = sum(f.get("dtype") == "video" for f in out.get("features", {}).values())
+    return out | {"data_path": EPISODE_FILE, "total_chunks": -(-episodes // out.get("chunks_size", CHUNK)), "total_videos": episodes * cameras}
+
+
 def prepared(frames: DataFrame, task: str, fps: float) -> tuple[DataFrame, DataFrame]:
     """(frames with ``index, timestamp, task_index`` instead of the task, dictionary of tasks)."""
     tasks = cut_lineage(metadata.task_dictionary(frames, task, ["episode_index", "frame_index"]))
@@ -126,7 +140,7 @@ def pack(spark: SparkSession, source: str, target: str, cap_bytes: int = PACKED_
     write_files(placed, target, name, ["episode_index"], ["frame_index"], drop=["chunk_index", "file_index"]).agg(F.sum("n_rows")).collect()
     read_episodes(spark, source).drop("length").join(places.select("episode_index", "length", "chunk_index", "file_index", "dataset_from_index", "dataset_to_index"), "episode_index").write.mode("overwrite").parquet(f"{target}/{PACKED_EPISODES}")
     read_tasks(spark, source).write.mode("overwrite").parquet(f"{target}/{PACKED_TASKS}")
-    info = (read_json(spark, f"{source}/{INFO}") or {}) | {"layout": "packed", "data_path": PACKED_FILE}
+    info = edited_info(read_json(spark, f"{source}/{INFO}") or {}, "packed", cap_bytes)
     write_json(f"{target}/{INFO}", info)
     return info
 
@@ -141,6 +155,6 @@ def unpack(spark: SparkSession, source: str, target: str) -> dict:
     write_files(rows, target, name, ["episode_index"], ["frame_index"]).agg(F.sum("n_rows")).collect()
     write_lines(read_tasks(spark, source), f"{target}/{TASKS}", ["task_index"]).collect()
     write_lines(episodes.select("episode_index", "tasks", "length"), f"{target}/{EPISODES}", ["episode_index"]).collect()
-    info = (read_json(spark, f"{source}/{INFO}") or {}) | {"layout": "episodes", "data_path": EPISODE_FILE}
+    info = edited_info(read_json(spark, f"{source}/{INFO}") or {}, "episodes")
     write_json(f"{target}/{INFO}", info)
     return info

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
+from framemill.sources.files import filesystem
+
 
 class SpecError(ValueError):
     """A declaration that can't be taken as it is."""
@@ -90,3 +92,76 @@ def block_table(spark: SparkSession, specs: list[Spec]) -> DataFrame:
     """``dataset, side, block, width, source, first, evidence`` of declarations; the action inherits the state's blocks."""
     rows = [(s.dataset, side, b.name, b.width, b.source, b.first, b.evidence) for s in specs for side, blocks in (("state", s.state), ("action", s.action if s.action is not None else s.state)) for b in blocks]
     return spark.createDataFrame(rows, "dataset string, side string, block string, width bigint, source string, first bigint, evidence string")
+
+
+#: Keys of an environment, of its runtime and batch sections, and of a profile, which an environment may not have.
+ENVIRONMENT = ("name", "source", "work", "dest", "state", "runtime", "builders", "batch")
+RUNTIME = ("workers", "threads", "executor", "memory_gb", "keep_source", "timeout_s")
+BATCH = ("max_datasets", "target_episodes")
+PROFILE = ("codec", "crf", "preset", "gop", "pix_fmt", "height", "width", "fps", "resize")
+
+
+def read_text(path: str) -> str:
+    """A document's text; one that isn't there is an error that names it."""
+    system, at = filesystem(path)
+    try:
+        with system.open_input_stream(at) as f:
+            return f.read().decode()
+    except FileNotFoundError as e:
+        raise SpecError(f"there is no {path}") from e
+
+
+def _only(raw: dict, known: tuple[str, ...], where: str) -> dict:
+    strange = sorted(set(raw) - set(known))
+    if strange:
+        raise SpecError(f"{where}: unknown {', '.join(strange)}; known are {', '.join(sorted(known))}")
+    return raw
+
+
+def _section(raw: dict, name: str) -> dict:
+    found = raw.get(name) or {}
+    if not isinstance(found, dict):
+        raise SpecError(f"{name} is a mapping")
+    return found
+
+
+def parse_layout(text: str) -> tuple[str, ...]:
+    """The order of blocks that a layout declares: a list of names, not empty, each once."""
+    order = _only(_load(text), ("order", "description"), "layout").get("order")
+    if not isinstance(order, list) or not order or not all(isinstance(o, str) for o in order):
+        raise SpecError("order is a list of block names")
+    if len(set(order)) != len(order):
+        raise SpecError("order repeats a block name")
+    return tuple(order)
+
+
+def parse_environment(text: str) -> dict:
+    """Where a build runs and how fast; what decides what is built belongs to a profile and is refused here."""
+    raw = dict(_only(_load(text), ENVIRONMENT, "environment"))
+    misplaced = sorted(set(_section(raw, "runtime")) & set(PROFILE))
+    if misplaced:
+        raise SpecError(f"runtime: {', '.join(misplaced)} decides what is built and belongs to a profile")
+    _only(_section(raw, "runtime"), RUNTIME, "runtime")
+    _only(_section(raw, "batch"), BATCH, "batch")
+    if not all(isinstance(v, dict) for v in _section(raw, "builders").values()):
+        raise SpecError("builders maps a builder's name to its settings")
+    return raw
+
+
+def parse_profile(text: str) -> dict:
+    """How pictures are encoded; an explicit null is a value."""
+    return dict(_only(_load(text), PROFILE, "profile"))
+
+
+def parse_pipeline(text: str) -> dict:
+    """A pipeline's declaration: name, source and dest, which must differ, steps and runtime."""
+    raw = dict(_only(_load(text), ("name", "profile", "dataset", "source", "dest", "steps", "runtime"), "pipeline"))
+    if not isinstance(raw.get("name"), str) or not raw["name"].strip():
+        raise SpecError("name is a text that isn't empty")
+    for side in ("source", "dest"):
+        if not isinstance(raw.get(side), dict) or not raw[side].get("path"):
+            raise SpecError(f"{side} needs a path")
+    if raw["source"]["path"] == raw["dest"]["path"]:
+        raise SpecError("source and dest are the same; input is never changed in place")
+    _only(_section(raw, "runtime"), RUNTIME, "runtime")
+    return raw
