@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,20 +24,21 @@ def number_text(vector: Column, scale: int = 1 << 16) -> Column:
     return F.coalesce(F.array_join(F.transform(vector, one), ","), F.lit("none"))
 
 
-def fingerprints(frames: DataFrame, columns: list[str], prefix_rows: int = PREFIX_ROWS) -> DataFrame:
+def fingerprints(frames: DataFrame, columns: list[str], prefix_rows: int = PREFIX_ROWS, also: Sequence[Column] = ()) -> DataFrame:
     """``episode_index, n_rows, whole, prefix``: digests of an episode's vectors, over all rows and over its first ones.
 
     Each row's digest covers its place in the episode, so the digests of a set of rows can be added up in any order: no
-    episode is brought together in one place. Frames that have their ``position`` already keep it.
+    episode is brought together in one place. Frames that have their ``position`` already keep it. ``also`` are further
+    aggregates of an episode's frames.
     """
     placed = frames if "position" in frames.columns else positions(frames.select("episode_index", "frame_index", *columns))
     text = F.concat_ws("|", F.col("position").cast("string"), *[number_text(F.col(c)) for c in columns])
     digest = F.sha2(text, 256)
     parts = [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)") for i in (0, 1)]
-    rows = placed.select("episode_index", "position", *[p.alias(f"d{i}") for i, p in enumerate(parts)])
+    rows = placed.withColumns({f"d{i}": p for i, p in enumerate(parts)})
     first = F.col("position") < prefix_rows
     joined = lambda cond: F.concat_ws("-", *[F.sum(F.when(cond, F.col(f"d{i}"))).cast("string") for i in (0, 1)])
-    return rows.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n_rows"), joined(F.lit(True)).alias("whole"), joined(first).alias("prefix"))
+    return rows.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n_rows"), joined(F.lit(True)).alias("whole"), joined(first).alias("prefix"), *also)
 
 
 def pair_digests(a: DataFrame, b: DataFrame, digest: str) -> DataFrame:

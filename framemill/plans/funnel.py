@@ -3,8 +3,10 @@ rows, prompts, lengths, statistics and videos of paired episodes are the same, a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,17 +63,26 @@ def prepared(frames: DataFrame, columns: list[str], width: int) -> Copy:
     ``episodes`` has ``episode_index, n_rows, whole, prefix, prompt, prompts, width``, ``stats`` the moments of each dimension
     of each episode. Later questions read only the columns they need of the written table.
     """
-    spark = frames.sparkSession
-    folder = shared_folder(spark, "copy")
-    scans.positions(frames.select("episode_index", "frame_index", "prompt", *columns)).write.parquet(folder)
-    rows = spark.read.parquet(folder)
+    rows = placed(frames, ["prompt", *columns])
     # Prompts repeat within an episode, so they are counted before they are listed.
     said = rows.groupBy("episode_index", "prompt").agg(F.min("position").alias("at")).groupBy("episode_index").agg(
         F.min_by("prompt", F.when(F.col("prompt").isNotNull(), F.col("at"))).alias("prompt"), F.array_sort(F.collect_set("prompt")).alias("prompts"))
-    widths = rows.groupBy("episode_index").agg(F.max(F.size(columns[0])).alias("width"))
-    episodes = pairing.fingerprints(rows, columns).join(said, "episode_index").join(widths, "episode_index")
+    episodes = pairing.fingerprints(rows, columns, also=[F.max(F.size(columns[0])).alias("width")]).join(said, "episode_index")
     stats = _values(rows, ["episode_index"], columns, width).groupBy("episode_index", "feature", "dim").agg(*statistics.moments())
-    return Copy(rows, cut_lineage(episodes), cut_lineage(stats))
+    return Copy(rows, *_at_once(lambda: cut_lineage(episodes), lambda: cut_lineage(stats)))
+
+
+def placed(frames: DataFrame, columns: list[str]) -> DataFrame:
+    """The named columns of the frames with their ``position``, written to the shared folder and read from there."""
+    folder = shared_folder(frames.sparkSession, "copy")
+    scans.positions(frames.select("episode_index", "frame_index", *columns)).write.parquet(folder)
+    return frames.sparkSession.read.parquet(folder)
+
+
+def _at_once(*jobs: Callable[[], object]) -> list:
+    """The results of jobs that don't depend on each other; the driver's threads only wait for them."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
 def _values(rows: DataFrame, key: list[str], columns: list[str], width: int) -> DataFrame:
@@ -90,13 +101,14 @@ def declared(copy: Copy) -> DataFrame:
 
 def shared_gap(pairs: DataFrame, a: Copy, b: Copy, columns: list[str], width: int) -> DataFrame:
     """Distribution gaps over the paired episodes."""
-    sides = []
-    for copy, key in ((a, "one"), (b, "other")):
+    def side(copy: Copy, key: str) -> DataFrame:
         mine = pairs.select(F.col(key).alias("episode_index"))
         moments = statistics.combined_moments(copy.stats.join(mine, "episode_index", "left_semi"), ["feature", "dim"])
         values = _values(copy.rows.join(mine, "episode_index", "left_semi"), [], columns, width)
         quantiles = statistics.quantiles_of_counts(statistics.counted(values, ["feature", "dim"], "value"), ["feature", "dim"], "value", _QUANTILES)
-        sides.append(moments.join(quantiles, ["feature", "dim"]))
+        return moments.join(quantiles, ["feature", "dim"])
+
+    sides = _at_once(lambda: side(a, "one"), lambda: side(b, "other"))
     return statistics.distribution_gap(sides[0], sides[1], "feature", [*MOMENTS, *_QUANTILES])
 
 
@@ -149,7 +161,7 @@ def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44, *,
                             lengths up to two rows apart; ``prompts_agree`` the first prompt of every pair.
     ``videos_agree``        files an episode and mean sizes by camera (``camera, file, episode_index, n_bytes``), if given.
     """
-    a, b = (prepared(d, columns, width) for d in (a, b))
+    a, b = _at_once(*[partial(prepared, d, columns, width) for d in (a, b)])
     pairs = cut_lineage(pairing.pair_episodes(a.episodes, b.episodes))
     paired = pairs.filter(F.col("basis").isin("exact", "prefix")).select("one", "other")
     complete = True
@@ -178,15 +190,16 @@ def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44, *,
         parts.append(flag(none(coverage(*videos, a.episodes, b.episodes)), "videos_agree"))
     if documents is not None:
         parts.append(flag(none(differs(*documents)), "documents_agree"))
-    # Each part is one row of flags; they're put side by side on a constant.
-    row = pairing.pairing_summary(pairs).select("exact", "prefix", "one_only", "other_only", "moved").withColumn("__k", F.lit(1))
-    for part in parts:
-        row = row.join(F.broadcast(part.withColumn("__k", F.lit(1))), "__k")
-    asked = [f for f in REASONS if f in row.columns]
-    every = lambda names: reduce(lambda x, y: x & y, [F.col(f) for f in names])
-    reasons = F.array_compact(F.array(*[F.when(~F.col(f), F.lit(REASONS[f])) for f in asked]))
-    declarations = every([f for f in ("fields_agree", "documents_agree", "tasks_agree", "stats_agree") if f in asked])
-    return row.select("exact", "prefix", "one_only", "other_only", "moved", *asked, declarations.alias("declarations_agree"), every(asked).alias("agree"), reasons.alias("reasons"))
+    counts = pairing.pairing_summary(pairs).select("exact", "prefix", "one_only", "other_only", "moved")
+    # One row of flags each, asked at once.
+    found, *flags = _at_once(counts.first, *[part.first for part in parts])
+    said = {name: value for row in flags for name, value in row.asDict().items()}
+    asked = [f for f in REASONS if f in said]
+    declarations = all(said[f] for f in ("fields_agree", "documents_agree", "tasks_agree", "stats_agree") if f in said)
+    reasons = [REASONS[f] for f in asked if not said[f]]
+    numbers, bools = list(found.asDict()), [*asked, "declarations_agree", "agree"]
+    schema = ", ".join([*[f"{n} bigint" for n in numbers], *[f"{n} boolean" for n in bools], "reasons array<string>"])
+    return pairs.sparkSession.createDataFrame([(*found, *[said[f] for f in asked], declarations, not reasons, reasons)], schema)
 
 
 def _prompts(pairs: DataFrame, a: Copy, b: Copy) -> DataFrame:

@@ -113,8 +113,9 @@ _DIVERGE = """ra AS (SELECT *, row_number() OVER (PARTITION BY episode_index ORD
     count(CASE WHEN unequal THEN 1 END) = 0 AND abs(any_value(p.row_delta)) <= 2 AS ok FROM j JOIN pairing p ON p.one = j.one GROUP BY 1, 2""")
 def first_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where paired episodes first differ."""
-    paired = cut_lineage(_pairs(spark, sf_dir).filter(F.col("basis").isin("exact", "prefix")))
-    return pairing.first_divergence(paired, *_copies(spark, sf_dir), COLUMNS)
+    a, b = (funnel.placed(d, COLUMNS) for d in _copies(spark, sf_dir))
+    pairs = pairing.pair_episodes(*[pairing.fingerprints(d, COLUMNS) for d in (a, b)])
+    return pairing.first_divergence(cut_lineage(pairs.filter(F.col("basis").isin("exact", "prefix"))), a, b, COLUMNS)
 
 
 _BLOCK = "SELECT episode_index, 'action_vec' AS feature, i - 1 AS dim, min(action_vec[i]::DOUBLE) AS min, max(action_vec[i]::DOUBLE) AS max, avg(action_vec[i]::DOUBLE) AS mean FROM {t}, generate_series(1, 44) AS g(i) WHERE len(action_vec) = 44 AND NOT isnan(action_vec[i]) GROUP BY ALL"
