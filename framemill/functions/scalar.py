@@ -146,6 +146,29 @@ def quaternion_euler(q: Column) -> Column:
     return F.array(roll, pitch, yaw)
 
 
+def quaternion_axis_angle(q: Column) -> Column:
+    """Rotation vector (axis times angle) of a quaternion (x, y, z, w); w is bounded to [-1, 1], no rotation is three zeros."""
+    x, y, z, w = (F.get(q, F.lit(i)).cast("double") for i in range(4))
+    w = F.least(F.greatest(w, F.lit(-1.0)), F.lit(1.0))
+    length = F.sqrt(1 - w * w)
+    scale = F.when(length < 1e-12, F.lit(0.0)).otherwise(2 * F.acos(w) / length)
+    return F.array(x * scale, y * scale, z * scale)
+
+
+def camera_matrix(fovy: Column, height: Column, width: Column) -> Column:
+    """Intrinsic 3 x 3 matrix of a camera with a vertical field of view in degrees, principal point in the middle of the picture."""
+    focal = F.lit(0.5) * height / F.tan(F.radians(fovy) / 2)
+    zero, one = F.lit(0.0), F.lit(1.0)
+    return F.array(F.array(focal, zero, width / F.lit(2.0)), F.array(zero, focal, height / F.lit(2.0)), F.array(zero, zero, one))
+
+
+def camera_pose(position: Column, rotation: Column) -> Column:
+    """Extrinsic 4 x 4 matrix from a position and a 3 x 3 rotation in row order, turned so that z points along the view: the second and third axis change sign."""
+    r = lambda i, j: F.get(rotation, F.lit(3 * i + j)).cast("double") * (1.0 if j == 0 else -1.0)
+    rows = [F.array(r(i, 0), r(i, 1), r(i, 2), F.get(position, F.lit(i)).cast("double")) for i in range(3)]
+    return F.array(*rows, F.array(*[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)]))
+
+
 def linear_depth(d: Column, near: float, far: float) -> Column:
     """Metres of a normalised depth buffer value."""
     return F.lit(near) / (F.lit(1.0) - d * (F.lit(1.0) - F.lit(near / far)))

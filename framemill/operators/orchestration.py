@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framemill.sources.files import no_pattern, write_json
+
 #: The steps of a dataset, in order.
 STEPS = ["fetch", "build", "publish"]
 
@@ -66,3 +68,18 @@ def worker_share(workers: Column, batch: Column) -> Column:
     """Workers of each of a batch's datasets: an even share, rounded up, at least one; all of them for a batch of one or none, null without workers."""
     share = F.greatest(F.ceil(workers / batch), F.lit(1))
     return F.when(workers > 0, F.when(batch <= 1, workers.cast("bigint")).otherwise(share))
+
+
+#: A step's record as it is kept, a document for each dataset and step.
+RECORD = "dataset string, step string, status string, started timestamp_ntz, finished timestamp_ntz, items bigint, created array<string>, inputs map<string, string>"
+
+
+def write_record(folder: str, record: dict) -> None:
+    """Put the record of a dataset's step in its place; a reader sees the one before or this one, never a part."""
+    write_json(f"{folder}/{record['dataset']}/{record['step']}.json", record)
+
+
+def read_records(spark: SparkSession, folder: str) -> DataFrame:
+    """All records of a folder; a document that can't be read is no record, so that its step counts as not done."""
+    found = spark.read.schema(RECORD).option("multiLine", True).option("mode", "DROPMALFORMED").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(no_pattern(folder))
+    return found.filter("dataset is not null and step is not null")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from framemill.operators import pairing, scans, statistics
 from framemill.session import cut_lineage, shared_folder
+from framemill.sources.files import write_json
 
 #: Pairs of ``sample_both_ends``, the share of a span that distributions may differ by, what a statistic may
 #: differ by, and the share by which the mean size of videos may.
@@ -206,3 +207,10 @@ def _prompts(pairs: DataFrame, a: Copy, b: Copy) -> DataFrame:
     """Pairs whose episodes' first prompts differ."""
     first = lambda c, key, tag: c.episodes.select(F.col("episode_index").alias(key), F.col("prompt").alias(tag))
     return pairs.join(first(a, "one", "a"), "one").join(first(b, "other", "b"), "other").filter(~F.col("a").eqNullSafe(F.col("b")))
+
+
+def write_report(row: DataFrame, path: str) -> dict:
+    """Write a verdict's row as a JSON document, numbers cut to twelve digits; gives the document."""
+    document = {k: float(f"{v:.11e}") if isinstance(v, float) else v for k, v in row.first().asDict(recursive=True).items()}
+    write_json(path, document)
+    return document

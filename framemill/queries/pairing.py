@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framemill.functions.jsonpaths import flatten_json
 from framemill.operators import pairing, scans, statistics
 from framemill.plans import funnel
 from framemill.queries.statistics import WIDTH
 from framemill.registry import query, table
-from framemill.session import cut_lineage
+from framemill.session import cut_lineage, shared_folder
 from framemill.views import DELIVERED_SQL, FRAMES_SQL, frames
 
 COLUMNS = ["state_vec", "action_vec"]
@@ -270,3 +271,12 @@ def funnel_verdict_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = _copies(spark, sf_dir)
     shots = _shots(spark, sf_dir)
     return funnel.verdict(a, b, COLUMNS, WIDTH, videos=(shots.withColumn("episode_index", 1_000_000 - F.col("episode_index")), shots))
+
+
+@query("verdict_report", f"WITH v AS ({_verdict_sql(FRAMES_SQL, DELIVERED_SQL)}) SELECT unnest(['agree', 'exact', 'one_only', 'other_only', 'prefix', 'reasons', 'values_agree']) AS path, unnest([CAST(agree AS VARCHAR), CAST(exact AS VARCHAR), CAST(one_only AS VARCHAR), CAST(other_only AS VARCHAR), CAST(prefix AS VARCHAR), to_json(reasons)::VARCHAR, CAST(values_agree AS VARCHAR)]) AS value FROM v")
+def verdict_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict as a report's document, written and read by path."""
+    at = f"{shared_folder(spark, 'report')}/report.json"
+    funnel.write_report(funnel_verdict(spark, sf_dir), at)
+    rows = flatten_json(spark.read.text(at, wholetext=True).select(F.lit("report").alias("report"), "value"), "report", "value")
+    return rows.filter(F.col("path").isin("agree", "exact", "one_only", "other_only", "prefix", "reasons", "values_agree")).select("path", "value")

@@ -177,3 +177,68 @@ def datasets_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many datasets have a standard, how many a configuration, and how many standards there are."""
     known = datasets.dataset_table(spark)
     return known.agg(F.count("standard").cast("int").alias("standards"), F.count("parts").cast("int").alias("configurations"), F.count_distinct("standard").cast("int").alias("transforms"))
+
+
+_UNIT = "sqrt(state_vec[1]::DOUBLE ** 2 + state_vec[2]::DOUBLE ** 2 + state_vec[3]::DOUBLE ** 2 + state_vec[4]::DOUBLE ** 2)"
+
+
+@query("axis_angles", f"""WITH q AS (SELECT episode_index, frame_index, state_vec[1] / {_UNIT} AS x, state_vec[2] / {_UNIT} AS y, state_vec[3] / {_UNIT} AS z, least(greatest(state_vec[4] / {_UNIT}, -1), 1) AS w FROM {FRAMES_SQL} WHERE len(state_vec) >= 4 AND {_UNIT} > 0),
+    s AS (SELECT *, CASE WHEN sqrt(1 - w * w) < 1e-12 THEN 0 ELSE 2 * acos(w) / sqrt(1 - w * w) END AS k FROM q)
+    SELECT episode_index, frame_index, round(x * k + 1e-9, 6) AS rx, round(y * k + 1e-9, 6) AS ry, round(z * k + 1e-9, 6) AS rz FROM s""")
+def axis_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rotation vectors of unit quaternions."""
+    part = [F.get("state_vec", F.lit(i)).cast("double") for i in range(4)]
+    unit = F.sqrt(part[0] * part[0] + part[1] * part[1] + part[2] * part[2] + part[3] * part[3])
+    rows = frames(spark, sf_dir, "state_vec").filter((F.size("state_vec") >= 4) & (unit > 0)).withColumn("v", scalar.quaternion_axis_angle(F.array(*[p / unit for p in part])))
+    return rows.select("episode_index", "frame_index", *[F.round(F.get("v", F.lit(i)) + 1e-9, 6).alias(n) for i, n in enumerate(("rx", "ry", "rz"))])
+
+
+@query("camera_matrices", """SELECT event_id, round(0.5 * h / tan(radians(f) / 2) + 1e-9, 6) AS focal, w / 2.0::DOUBLE AS cx, h / 2.0::DOUBLE AS cy, 1.0::DOUBLE AS scale, -f AS turned, f AS kept, h::DOUBLE AS moved
+    FROM (SELECT event_id, 20.0::DOUBLE + event_id % 70 AS f, 128 + event_id % 5 AS h, 256 + event_id % 7 AS w FROM events)""")
+def camera_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intrinsic and extrinsic matrices of cameras."""
+    rows = table(spark, sf_dir, "events").select("event_id", (F.lit(20.0) + F.col("event_id") % 70).alias("f"), (F.col("event_id") % 5 + 128).alias("h"), (F.col("event_id") % 7 + 256).alias("w"))
+    at = lambda m, i, j: F.get(F.get(m, F.lit(i)), F.lit(j))
+    k = scalar.camera_matrix(F.col("f"), F.col("h"), F.col("w"))
+    pose = scalar.camera_pose(F.array("h", "w", "f"), F.array(*["f"] * 9))
+    return rows.select("event_id", F.round(at(k, 0, 0) + 1e-9, 6).alias("focal"), at(k, 0, 2).alias("cx"), at(k, 1, 2).alias("cy"), at(k, 2, 2).alias("scale"), at(pose, 1, 2).alias("turned"), at(pose, 2, 0).alias("kept"), at(pose, 0, 3).alias("moved"))
+
+
+@query("step_documents", "SELECT dataset, step, 'ok' AS status, n AS items, ['/out/' || dataset] AS created FROM (SELECT dataset, count(*) AS n FROM addresses WHERE dataset IS NOT NULL GROUP BY 1), (SELECT unnest(['fetch', 'build']) AS step)")
+def step_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of steps, kept as a document each and read again beside one that is damaged."""
+    folder = shared_folder(spark, "steps")
+    counts = table(spark, sf_dir, "addresses").filter("dataset is not null").groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
+
+    def write(batches):
+        for b in batches:
+            for dataset, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for step in ("fetch", "build"):
+                    orchestration.write_record(folder, {"dataset": dataset, "step": step, "status": "ok", "items": n, "created": [f"/out/{dataset}"]})
+            yield pa.record_batch([b.column(0)], names=["dataset"])
+
+    counts.mapInArrow(write, "dataset string").count()
+    system, base = files.filesystem(folder)
+    with system.open_output_stream(f"{base}/damaged.json") as f:
+        f.write(b"{no json")
+    return orchestration.read_records(spark, folder).select("dataset", "step", "status", "items", "created")
+
+
+@query("written_codecs", f"SELECT 'ZSTD' AS codec, count(DISTINCT episode_index) AS n_files, count(*) AS n_rows FROM {FRAMES_SQL}")
+def written_codecs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episode files written with another compression and an index of their pages, as their footers say after the folder was mirrored."""
+    folder = shared_folder(spark, "codecs")
+    name = F.format_string("%s.parquet", F.col("episode_index").cast("string"))
+    files.write_files(frames(spark, sf_dir, "gripper"), f"{folder}/a", name, ["episode_index"], ["frame_index"], compression="zstd", write_page_index=True).count()
+    files.mirror(spark, f"{folder}/a", f"{folder}/b")
+
+    def footer(batches):
+        import pyarrow.parquet as pq
+
+        system, base = files.filesystem(f"{folder}/b")
+        for b in batches:
+            found = [pq.ParquetFile(system.open_input_file(f"{base}/{p}")).metadata for p in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array([m.row_group(0).column(0).compression for m in found], pa.string()), pa.array([m.num_rows for m in found], pa.int64())], names=["codec", "n"])
+
+    footers = files.walk(spark, f"{folder}/b").select("path").mapInArrow(footer, "codec string, n bigint")
+    return footers.groupBy("codec").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -30,7 +31,16 @@ def no_pattern(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def write_files(df: DataFrame, root: str, name: Column, group: list[str], order: list[str], drop: list[str] | None = None) -> DataFrame:
+def write_json(path: str, document: dict) -> None:
+    """A JSON document, moved into place when it is whole."""
+    system, at = filesystem(path)
+    system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(at + ".tmp") as f:
+        f.write(json.dumps(document, indent=2, sort_keys=True).encode())
+    system.move(at + ".tmp", at)
+
+
+def write_files(df: DataFrame, root: str, name: Column, group: list[str], order: list[str], drop: list[str] | None = None, **options: object) -> DataFrame:
     """``file, n_rows, n_bytes`` of the files written: one Parquet file for each value of ``name``, a row group for each ``group``.
 
     Rows are hashed on the file's name and sorted, and a task writes its files one after the other as rows come, so
@@ -53,7 +63,7 @@ def write_files(df: DataFrame, root: str, name: Column, group: list[str], order:
             if held:
                 table = pa.Table.from_batches(held)
                 if writer is None:
-                    writer = pq.ParquetWriter(system.open_output_stream(aside), table.schema, compression="snappy")
+                    writer = pq.ParquetWriter(system.open_output_stream(aside), table.schema, **options)
                 writer.write_table(table, row_group_size=max(1, table.num_rows))
                 held = []
 
@@ -140,3 +150,44 @@ def walk(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
         level = cut_lineage(folders.mapInArrow(look, found))
         files = files.unionByName(level.filter("not folder"))
     return files.filter(F.col("path").endswith(suffix)).select("path", "length")
+
+
+def mirror(spark: SparkSession, source: str, target: str, *, link: bool = True) -> int:
+    """Copy the files of a folder in tasks and move the whole into place at the end; gives the number of files.
+
+    On a local file system files are hard links if ``link``, and copies where a link can't be made. A target that holds
+    something already is an error, and nothing of it changes; a run that breaks off leaves no target.
+    """
+    target_system, target_base = filesystem(target)
+    if target_system.get_file_info(fs.FileSelector(target_base, allow_not_found=True)):
+        raise FileExistsError(f"{target} isn't empty")
+    aside = f"{os.path.dirname(target_base)}/.{os.path.basename(target_base)}.{uuid.uuid4().hex}"
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = filesystem(source)
+        onto, _ = filesystem(target)
+        local = link and isinstance(system, fs.LocalFileSystem) and isinstance(onto, fs.LocalFileSystem)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                onto.create_dir(os.path.dirname(f"{aside}/{path}"), recursive=True)
+                if not (local and _linked(f"{base}/{path}", f"{aside}/{path}")):
+                    fs.copy_files(f"{base}/{path}", f"{aside}/{path}", source_filesystem=system, destination_filesystem=onto)
+            yield pa.record_batch([batch.column(0)], names=["path"])
+
+    files = walk(spark, source).select("path")
+    n = files.repartition("path").mapInArrow(place, "path string").count()
+    target_system.create_dir(aside, recursive=True)
+    if target_system.get_file_info(target_base).type.name == "Directory":
+        target_system.delete_dir(target_base)
+    target_system.move(aside, target_base)
+    return n
+
+
+def _linked(source: str, target: str) -> bool:
+    try:
+        os.link(source, target)
+    except FileExistsError:  # the task ran before
+        return True
+    except OSError:
+        return False
+    return True

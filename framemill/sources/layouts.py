@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from framemill.operators import bins, metadata, scans
 from framemill.session import cut_lineage
-from framemill.sources.files import filesystem, write_files, write_lines
+from framemill.sources.files import filesystem, write_files, write_json, write_lines
 
 CHUNK = 1000
 #: Where things lie.
@@ -35,15 +35,6 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
     return found if isinstance(found, dict) else None
 
 
-def write_json(path: str, document: dict) -> None:
-    """A JSON document, moved into place when it is whole."""
-    system, at = filesystem(path)
-    system.create_dir(at.rsplit("/", 1)[0], recursive=True)
-    with system.open_output_stream(at + ".tmp") as f:
-        f.write(json.dumps(document, indent=2, sort_keys=True).encode())
-    system.move(at + ".tmp", at)
-
-
 def read_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A JSON Lines file with a given schema; blank lines give no rows."""
     return spark.read.schema(schema).json(path)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import io
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from framemill.functions import scalar
 from framemill.operators import orchestration
-from framemill.sources import layouts, specs, tfrecord, trees
+from framemill.sources import files, layouts, specs, tfrecord, trees
 
 
 def touch(path, text=""):
@@ -115,3 +117,27 @@ def test_declarations_of_all_kinds():
 def test_worker_share(spark):
     share = lambda w, n: spark.range(1).select(orchestration.worker_share(F.lit(w).cast("long"), F.lit(n)).alias("x")).first()["x"]
     assert (share(48, 5), share(3, 10), share(48, 1), share(48, 0), share(None, 3), share(0, 3)) == (10, 1, 48, 48, None, None)
+
+
+def test_mirror_is_all_or_nothing(spark, tmp_path):
+    touch(tmp_path / "a/x/1", "one")
+    touch(tmp_path / "a/2", "two")
+    touch(tmp_path / "full/y", "kept")
+    assert files.mirror(spark, f"{tmp_path}/a", f"{tmp_path}/b") == 2
+    assert (tmp_path / "b/x/1").read_text() == "one" and (tmp_path / "b/2").stat().st_nlink == 2
+    assert files.mirror(spark, f"{tmp_path}/a", f"{tmp_path}/c", link=False) == 2 and (tmp_path / "c/2").stat().st_nlink == 1
+    with pytest.raises(FileExistsError):
+        files.mirror(spark, f"{tmp_path}/a", f"{tmp_path}/full")
+    assert [p.name for p in (tmp_path / "full").iterdir()] == ["y"]
+    assert files.mirror(spark, f"{tmp_path}/none", f"{tmp_path}/d") == 0
+
+
+def test_geometry(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first()["x"]
+    q = lambda *v: F.array(*[F.lit(float(x)) for x in v])
+    half = 0.5**0.5
+    assert one(scalar.quaternion_axis_angle(q(half, 0, 0, half))) == pytest.approx([math.pi / 2, 0, 0])
+    assert one(scalar.quaternion_axis_angle(q(0, 0, 0, 1.0000001))) == [0, 0, 0]
+    assert one(scalar.camera_matrix(F.lit(90.0), F.lit(100.0), F.lit(200.0)))[0] == pytest.approx([50, 0, 100])
+    pose = one(scalar.camera_pose(q(7, 8, 9), q(1, 0, 0, 0, 1, 0, 0, 0, 1)))
+    assert [list(r) for r in pose] == [[1, 0, 0, 7], [0, -1, 0, 8], [0, 0, -1, 9], [0, 0, 0, 1]]
