@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framemill.operators import pairing, scans, statistics
-from framemill.session import cut_lineage, shared_folder
+from framemill.session import cut_lineage, shared_folder, small_side
 from framemill.sources.files import write_json
 
 #: Pairs of ``sample_both_ends``, the share of a span that distributions may differ by, what a statistic may
@@ -81,8 +81,8 @@ def placed(frames: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _at_once(*jobs: Callable[[], object]) -> list:
-    """The results of jobs that don't depend on each other; the driver's threads only wait for them."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
+    """The results of jobs that don't depend on each other, two at a time, as every plan at work takes the driver's memory."""
+    with ThreadPoolExecutor(2) as pool:
         return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
@@ -171,7 +171,9 @@ def verdict(a: DataFrame, b: DataFrame, columns: list[str], width: int = 44, *,
         placed = cut_lineage(pairing.pair_places(pairs))
         paired, complete = placed.filter("other is not null"), placed.filter("other is null").isEmpty()
     # Where neither side has an episode there is nothing to disagree; else a comparison of nothing isn't agreement.
-    agreed = not paired.isEmpty() or pairs.isEmpty()
+    n_paired = paired.count()
+    agreed = n_paired > 0 or pairs.isEmpty()
+    paired = small_side(paired, n_paired)  # so that picking the paired episodes' frames shuffles no vectors, up to a size
     none = lambda d: d.agg(F.count(F.lit(1)) == 0)
     flag = lambda d, name: d.toDF(name)
     counted = ["total_frames", "total_episodes"]
