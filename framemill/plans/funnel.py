@@ -69,10 +69,15 @@ def prepared(frames: DataFrame, columns: list[str], width: int) -> Copy:
     said = rows.groupBy("episode_index", "prompt").agg(F.min("position").alias("at")).groupBy("episode_index").agg(
         F.min_by("prompt", F.when(F.col("prompt").isNotNull(), F.col("at"))).alias("prompt"), F.array_sort(F.collect_set("prompt")).alias("prompts"))
     episodes = pairing.fingerprints(rows, columns, also=[F.max(F.size(columns[0])).alias("width")]).join(said, "episode_index")
-    stats = _values(rows, ["episode_index"], columns, width).groupBy("episode_index", "feature", "dim").agg(*statistics.moments())
+    stats = episode_stats(rows, columns, width)
     return Copy(rows, *_at_once(lambda: cut_lineage(episodes), lambda: cut_lineage(stats)))
 
 
+def episode_stats(frames: DataFrame, columns: list[str], width: int) -> DataFrame:
+    """``episode_index, feature, dim`` and the moments of each dimension of each episode; vectors of another width don't count."""
+    return _values(frames, ["episode_index"], columns, width).groupBy("episode_index", "feature", "dim").agg(*statistics.moments())
+
+
 def placed(frames: DataFrame, columns: list[str]) -> DataFrame:
     """The named columns of the frames with their ``position``, written to the shared folder and read from there."""
     folder = shared_folder(frames.sparkSession, "copy")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framemill.functions.jsonpaths import flatten_json
-from framemill.operators import pairing, scans, statistics
+from framemill.operators import pairing, scans
 from framemill.plans import funnel
 from framemill.queries.statistics import WIDTH
 from framemill.registry import query, table
@@ -129,10 +129,8 @@ _BLOCK = "SELECT episode_index, 'action_vec' AS feature, i - 1 AS dim, min(actio
     SELECT feature, stat, count(*) AS seen, count(CASE WHEN gap > 1e-6 THEN 1 END) AS bad, round(coalesce(max(CASE WHEN gap > 1e-6 THEN gap END), 0) + 1e-9, 6) AS worst, bool_and(zero) AS zeroed FROM q GROUP BY ALL""")
 def episode_meta_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics that differ between paired episodes."""
-    a, b = _copies(spark, sf_dir)
-    paired = cut_lineage(_pairs(spark, sf_dir).filter(F.col("basis").isin("exact", "prefix")))
-    stats = [statistics.vector_values(d, ["episode_index"], "action_vec", WIDTH).groupBy("episode_index", F.lit("action_vec").alias("feature"), "dim").agg(*statistics.moments()) for d in (a, b)]
-    return pairing.stat_blocks(paired, *stats, ["min", "max", "mean"], 1e-6).withColumn("worst", F.round(F.col("worst") + 1e-9, 6))
+    tally = episode_meta_tally_all(spark, sf_dir)
+    return tally.filter("feature = 'action_vec' and stat in ('min', 'max', 'mean')")
 
 
 _BLOCKS = " UNION ALL ".join(f"SELECT episode_index, '{c}' AS feature, i - 1 AS dim, min({c}[i]::DOUBLE) AS min, max({c}[i]::DOUBLE) AS max, avg({c}[i]::DOUBLE) AS mean, stddev_pop({c}[i]::DOUBLE) AS std FROM {{t}}, generate_series(1, 44) AS g(i) WHERE len({c}) = 44 AND NOT isnan({c}[i]) GROUP BY ALL" for c in COLUMNS)
@@ -140,11 +138,11 @@ _BLOCKS = " UNION ALL ".join(f"SELECT episode_index, '{c}' AS feature, i - 1 AS
 
 def meta_tally(paired: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     """Over both vectors and all of their moments, how many pairs differ."""
-    sides = []
-    for d in (a, b):
-        parts = [statistics.vector_values(d, ["episode_index"], c, WIDTH).withColumn("feature", F.lit(c)) for c in COLUMNS]
-        sides.append(parts[0].unionByName(parts[1]).groupBy("episode_index", "feature", "dim").agg(*statistics.moments()))
-    return pairing.stat_blocks(paired, *sides, funnel.MOMENTS, 1e-6).withColumn("worst", F.round(F.col("worst") + 1e-9, 6))
+    return _tally(paired, *[funnel.episode_stats(d, COLUMNS, WIDTH) for d in (a, b)])
+
+
+def _tally(paired: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    return pairing.stat_blocks(paired, a, b, funnel.MOMENTS, 1e-6).withColumn("worst", F.round(F.col("worst") + 1e-9, 6))
 
 
 @query("episode_meta_tally_all", f"""{_COMMON}, sa AS ({_BLOCKS.format(t="a")}), sb AS ({_BLOCKS.format(t="b")}),
@@ -154,8 +152,9 @@ def meta_tally(paired: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     SELECT feature, stat, count(*) AS seen, count(CASE WHEN gap > 1e-6 THEN 1 END) AS bad, round(coalesce(max(CASE WHEN gap > 1e-6 THEN gap END), 0) + 1e-9, 6) AS worst, bool_and(zero) AS zeroed FROM q GROUP BY ALL""")
 def episode_meta_tally_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics that differ between paired episodes, of state and action alike; ``episode_meta_tally`` has the action's min, max and mean."""
-    paired = cut_lineage(_pairs(spark, sf_dir).filter(F.col("basis").isin("exact", "prefix")))
-    return meta_tally(paired, *_copies(spark, sf_dir))
+    a, b = (funnel.prepared(d, COLUMNS, WIDTH) for d in _copies(spark, sf_dir))
+    paired = pairing.pair_episodes(a.episodes, b.episodes).filter(F.col("basis").isin("exact", "prefix")).select("one", "other")
+    return _tally(paired, a.stats, b.stats)
 
 
 _FIRST_PROMPT = "SELECT episode_index, arg_min(prompt, frame_index) AS prompt FROM {t} WHERE prompt IS NOT NULL GROUP BY 1"
