@@ -79,7 +79,9 @@ def episode_stats(frames: DataFrame, columns: list[str], width: int) -> DataFram
 
 
 def placed(frames: DataFrame, columns: list[str]) -> DataFrame:
-    """The named columns of the frames with their ``position``, written to the shared folder and read from there."""
+    """The named columns of the frames with their ``position``, written to the shared folder and read from there; as they are if they have it."""
+    if "position" in frames.columns:
+        return frames.select("episode_index", "frame_index", "position", *columns)
     folder = shared_folder(frames.sparkSession, "copy")
     scans.positions(frames.select("episode_index", "frame_index", *columns)).write.parquet(folder)
     return frames.sparkSession.read.parquet(folder)

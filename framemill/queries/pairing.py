@@ -10,7 +10,7 @@ from framemill.operators import pairing, scans
 from framemill.plans import funnel
 from framemill.queries.statistics import WIDTH
 from framemill.registry import query, table
-from framemill.session import cut_lineage, shared_folder
+from framemill.session import cut_lineage, shared_folder, small_side
 from framemill.views import DELIVERED_SQL, FRAMES_SQL, frames
 
 COLUMNS = ["state_vec", "action_vec"]
@@ -19,10 +19,12 @@ COLUMNS = ["state_vec", "action_vec"]
 def rebuilt(delivered: DataFrame) -> DataFrame:
     """A copy with other indices: some episodes missing, some a row short, some with a changed value past the prefix."""
     e = F.col("episode_index")
-    last = delivered.groupBy("episode_index").agg(F.max("frame_index").alias("last"))
-    rows = scans.positions(delivered).join(last, "episode_index").filter((e % 17 != 0) & ~((e % 11 == 0) & (F.col("frame_index") == F.col("last"))))
+    last = cut_lineage(delivered.groupBy("episode_index").agg(F.max("frame_index").alias("last")))
+    placed = delivered if "position" in delivered.columns else scans.positions(delivered)
+    rows = placed.join(small_side(last, last.count()), "episode_index").filter((e % 17 != 0) & ~((e % 11 == 0) & (F.col("frame_index") == F.col("last"))))
     changed = F.when((e % 13 == 0) & (F.col("position") == 10), F.transform("state_vec", lambda x, i: F.when(i == 0, x + F.lit(1).cast("float")).otherwise(x))).otherwise(F.col("state_vec"))
-    return rows.withColumn("state_vec", changed).withColumn("episode_index", 1_000_000 - e).drop("position", "last")
+    # Whole episodes and last rows are gone, so the other rows' positions are what they were.
+    return rows.withColumn("state_vec", changed).withColumn("episode_index", 1_000_000 - e).select(delivered.columns)
 
 
 _REBUILT = f"""(SELECT 1000000 - episode_index AS episode_index, frame_index, prompt, action_vec,
@@ -57,7 +59,7 @@ _COMMON = _PAIRING.replace("{a}", _REBUILT).replace("{b}", FRAMES_SQL)
 
 
 def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    delivered = frames(spark, sf_dir, "state_vec", "action_vec", "prompt")
+    delivered = funnel.placed(frames(spark, sf_dir, "state_vec", "action_vec", "prompt"), [*COLUMNS, "prompt"])
     return rebuilt(delivered), delivered
 
 
@@ -114,7 +116,7 @@ _DIVERGE = """ra AS (SELECT *, row_number() OVER (PARTITION BY episode_index ORD
     count(CASE WHEN unequal THEN 1 END) = 0 AND abs(any_value(p.row_delta)) <= 2 AS ok FROM j JOIN pairing p ON p.one = j.one GROUP BY 1, 2""")
 def first_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where paired episodes first differ."""
-    a, b = (funnel.placed(d, COLUMNS) for d in _copies(spark, sf_dir))
+    a, b = _copies(spark, sf_dir)
     pairs = pairing.pair_episodes(*[pairing.fingerprints(d, COLUMNS) for d in (a, b)])
     return pairing.first_divergence(cut_lineage(pairs.filter(F.col("basis").isin("exact", "prefix"))), a, b, COLUMNS)
 
