@@ -73,7 +73,7 @@ def containers(documents: DataFrame, *, id_column: str = "doc_id", text_column:
     item of its own: repeated and null ids too, whose containers are told apart by ``#2`` and so on. Ids are BIGINTs.
     Which texts share a container depends on the ids and texts alone. No task holds more than about ``shard_items`` texts.
     """
-    items = cut_lineage(_named(cut_lineage(_items(documents, id_column, text_column, capacity, folder, vocabulary))))
+    items = _named(cut_lineage(_items(documents, id_column, text_column, capacity, folder, vocabulary)))
     full = F.col("n_tokens") == capacity
     alone = items.filter(full).select(F.concat("name", F.lit(":full")).alias("container_id"), F.lit(0).alias("position"), *_RESULT[2:])
     none = items.filter("n_tokens = 0").select(F.lit(None).cast("string").alias("container_id"), F.lit(None).cast("int").alias("position"), *_RESULT[2:])
@@ -123,7 +123,7 @@ def _named(items: DataFrame) -> DataFrame:
     # One id may have a large part of all rows, null for instance; its rows are numbered over many partitions.
     more = items.join(small_side(repeated, n), same, "left_semi").withColumn("__digest", F.xxhash64("start_token", "n_tokens", "terms", "counts"))
     more = places(more, key, ["__digest"]).withColumn("name", F.when(F.col("place") > 0, F.concat(plain, F.lit("#"), (F.col("place") + 1).cast("string"))).otherwise(plain))
-    return once.unionByName(more.select(*once.columns))
+    return cut_lineage(once.unionByName(more.select(*once.columns)))
 
 
 def _corpus(items: DataFrame) -> Corpus:
